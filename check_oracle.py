@@ -69,7 +69,7 @@ def main() -> int:
             got = rows(QUERIES[name](spark, opts.sf))
         except Exception as error:
             bad += 1
-            print(f"FAIL {name}: {type(error).__name__} {str(error)[:1500]}")
+            print(f"FAIL {name}: {type(error).__name__} {str(error)[:2500]} {str(getattr(error, "java_exception", ""))[:2500]}")
             continue
         took = time.time() - start
         if name not in ORACLE:
@@ -81,7 +81,7 @@ def main() -> int:
             want = pd.DataFrame(result.fetchall(), columns=names, dtype=object)
         except Exception as error:
             bad += 1
-            print(f"FAIL oracle {name}: {str(error)[:1500]}")
+            print(f"FAIL oracle {name}: {str(error)[:2500]} {str(getattr(error, "java_exception", ""))[:2500]}")
             continue
         if sorted(got.columns) != sorted(want.columns):
             bad += 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions import vocab as V
@@ -22,21 +22,26 @@ def dim_date(
     Truncating before the distinct lets the map side collapse each partition to its hours,
     so what is shuffled is hours, not events.
     """
+    return describe_hours(
+        timestamps.select(F.date_trunc("hour", column).alias("h")).distinct(), period
+    )
+
+
+def describe_hours(hours: DataFrame, period: tuple[str, str, str] = V.COVID_PERIOD) -> DataFrame:
+    """Calendar columns of distinct hours `h`; `period` is (flag name, first, last day)."""
     flag, first_day, last_day = period
-    hours = timestamps.select(F.date_trunc("hour", column).alias("h")).distinct()
-    day = F.to_date("h")
-    return hours.select(
-        hour_key("h").alias("date_key"),
-        day.alias("full_date"),
-        F.year("h").cast("smallint").alias("year"),
-        F.quarter("h").cast("tinyint").alias("quarter"),
-        F.month("h").cast("tinyint").alias("month"),
-        F.date_format("h", "MMMM").alias("month_name"),
-        F.dayofweek("h").cast("tinyint").alias("day_of_week"),
-        F.date_format("h", "EEEE").alias("day_name"),
-        F.hour("h").cast("tinyint").alias("hour"),
-        F.dayofweek("h").isin(1, 7).alias("is_weekend"),
-        day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")).alias(flag),
+    return hours.selectExpr(
+        "CAST(year(h) * 1000000 + month(h) * 10000 + day(h) * 100 + hour(h) AS INT) AS date_key",
+        "to_date(h) AS full_date",
+        "CAST(year(h) AS SMALLINT) AS year",
+        "CAST(quarter(h) AS TINYINT) AS quarter",
+        "CAST(month(h) AS TINYINT) AS month",
+        "date_format(h, 'MMMM') AS month_name",
+        "CAST(dayofweek(h) AS TINYINT) AS day_of_week",
+        "date_format(h, 'EEEE') AS day_name",
+        "CAST(hour(h) AS TINYINT) AS hour",
+        "dayofweek(h) IN (1, 7) AS is_weekend",
+        f"to_date(h) BETWEEN DATE'{first_day}' AND DATE'{last_day}' AS {flag}",
     )
 
 
@@ -90,19 +95,20 @@ def dim_contributor(contributors: DataFrame) -> DataFrame:
     )
 
 
-def _known_languages(spark) -> DataFrame:
+def _known_languages(spark: SparkSession) -> DataFrame:
     """The attribute table as an inline relation, so its tiny size is known to the planner."""
-    rows = [
-        F.struct(
-            F.lit(name).alias("language_name"),
-            F.lit(paradigm).alias("paradigm"),
-            F.lit(types).alias("type_system"),
-            F.lit(year).cast("bigint").alias("first_appeared"),
-            F.lit(emerging).alias("is_emerging"),
-        )
-        for name, paradigm, types, year, emerging in V.KNOWN_LANGUAGES
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        return f"'{value}'" if isinstance(value, str) else str(value)
+
+    rows = ", ".join(f"({', '.join(map(literal, row))})" for row in V.KNOWN_LANGUAGES)
+    return spark.sql(
+        f"SELECT language_name, paradigm, type_system, CAST(first AS BIGINT) AS first_appeared,"
+        f" is_emerging FROM VALUES {rows}"
+        f" AS known(language_name, paradigm, type_system, first, is_emerging)"
+    )
 
 
 def dim_language(repositories: DataFrame) -> DataFrame:

@@ -146,12 +146,17 @@ def stream_from_facts(
     return reduce(DataFrame.unionAll, parts)
 
 
+STREAM_TYPES = (S.PUSH, S.PULL_REQUEST, S.ISSUES, S.WATCH, S.FORK, S.RELEASE)
+
+
 def stream_from_keyed(keyed: DataFrame) -> DataFrame:
-    """Activity stream from one keyed frame that still holds all types: a single pass."""
+    """Activity stream from one keyed frame that holds all stream types: a single pass.
+
+    Types that are no activity (create events) must have been left out.
+    """
     kind = F.col("type")
-    relevant = keyed.filter(kind.isin(S.PUSH, S.PULL_REQUEST, S.ISSUES, S.WATCH, S.FORK, S.RELEASE))
     return _stream(
-        relevant,
+        keyed,
         kind,
         commits=F.when(kind == S.PUSH, F.col("commit_count")),
         action=F.when(kind.isin(S.PULL_REQUEST, S.ISSUES), F.col("action")),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart import schemas as S
 from eventmart.operators import dims
@@ -39,8 +40,15 @@ LINE_REST = (
 )
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the files once and then declared."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,78 +61,61 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_per_key(all_lines(spark, sf_dir), LINE_KEY, LINE_REST)
 
 
-def _event_type() -> Column:
-    n = F.col("l_linenumber")
-    return (
-        F.when(n <= 2, S.PUSH)
-        .when(n == 3, S.PULL_REQUEST)
-        .when(n == 4, S.ISSUES)
-        .when(n == 5, S.WATCH)
-        .when(n == 6, S.FORK)
-        .otherwise(S.RELEASE)
-    )
+EVENT_COLUMNS = (
+    "l_orderkey",
+    "l_linenumber",
+    "CAST(number AS STRING) AS event_id",
+    """CASE WHEN l_linenumber <= 2 THEN 'PushEvent' WHEN l_linenumber = 3 THEN 'PullRequestEvent'
+            WHEN l_linenumber = 4 THEN 'IssuesEvent' WHEN l_linenumber = 5 THEN 'WatchEvent'
+            WHEN l_linenumber = 6 THEN 'ForkEvent' ELSE 'ReleaseEvent' END AS type""",
+    "created_at",
+    "CAST(year(created_at) AS SMALLINT) AS year",
+    "l_partkey AS repo_id",
+    "concat('repo/', l_partkey, '-', year(created_at)) AS repo_name",
+    "actor_id",
+    """CASE WHEN l_quantity >= 2 THEN
+            concat('user-', actor_id, if(actor_id % 20 = 0, '[bot]', '')) END AS actor_login""",
+    # push
+    "CAST(l_quantity AS INT) AS commit_count",
+    """CASE l_returnflag WHEN 'A' THEN 'refs/heads/main' WHEN 'N' THEN 'refs/heads/master'
+            ELSE 'refs/heads/dev' END AS branch_ref""",
+    # pull request and issue
+    """CASE o_orderstatus WHEN 'O' THEN 'opened' WHEN 'F' THEN 'closed'
+            ELSE 'reopened' END AS action""",
+    "if(o_orderstatus = 'F', 'closed', 'open') AS state",
+    "number AS object_id",
+    "concat('Item ', l_orderkey) AS title",
+    "l_linestatus = 'F' AS is_merged",
+    "CAST(floor(l_quantity * l_quantity / 2) AS INT) AS additions",
+    "CAST(round(l_discount * 100) AS INT) AS deletions",
+    "CAST(pmod(l_partkey, 7) AS INT) AS changed_files",
+    "CAST(pmod(l_suppkey, 10) AS INT) AS remarks",
+    "opened_at",
+    "shipped_at AS ended_at",
+    "array(struct(l_returnflag AS name), struct(l_linestatus AS name)) AS labels",
+    # watch
+    "if(o_orderstatus = 'F', 'started', 'deleted') AS watch_action",
+    # release
+    "concat('v', l_suppkey) AS tag_name",
+    "l_returnflag = 'R' AS is_prerelease",
+)
 
 
 def with_event_columns(order_lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Envelope and typed columns of each line, all from one join."""
-    order = orders.select(
-        F.col("o_orderkey").alias("l_orderkey"),
-        F.col("o_custkey").alias("actor_id"),
+    order = orders.selectExpr(
+        "o_orderkey AS l_orderkey",
+        "o_custkey AS actor_id",
         "o_orderstatus",
-        F.col("o_orderdate").cast("timestamp").alias("opened_at"),
-    )
-    status = F.col("o_orderstatus")
-    number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    shipped = F.col("l_shipdate").cast("timestamp")
-    created = F.timestamp_add("HOUR", F.pmod("l_suppkey", F.lit(24)), shipped)
-    suffix = F.when(F.col("actor_id") % 20 == 0, "[bot]").otherwise("")
-    labels = F.array(
-        F.struct(F.col("l_returnflag").alias("name")),
-        F.struct(F.col("l_linestatus").alias("name")),
+        "CAST(o_orderdate AS TIMESTAMP) AS opened_at",
     )
-    joined = order_lines.join(order, "l_orderkey").withColumn("created_at", created)
-    return joined.select(
-        *LINE_KEY,
-        number.cast("string").alias("event_id"),
-        _event_type().alias("type"),
-        "created_at",
-        F.year("created_at").cast("smallint").alias("year"),
-        F.col("l_partkey").alias("repo_id"),
-        F.concat(F.lit("repo/"), "l_partkey", F.lit("-"), F.year("created_at")).alias(
-            "repo_name"
-        ),
-        "actor_id",
-        F.when(F.col("l_quantity") >= 2, F.concat(F.lit("user-"), "actor_id", suffix)).alias(
-            "actor_login"
-        ),
-        # push
-        F.col("l_quantity").cast("int").alias("commit_count"),
-        F.when(F.col("l_returnflag") == "A", "refs/heads/main")
-        .when(F.col("l_returnflag") == "N", "refs/heads/master")
-        .otherwise("refs/heads/dev")
-        .alias("branch_ref"),
-        # pull request and issue
-        F.when(status == "O", "opened")
-        .when(status == "F", "closed")
-        .otherwise("reopened")
-        .alias("action"),
-        F.when(status == "F", "closed").otherwise("open").alias("state"),
-        number.alias("object_id"),
-        F.concat(F.lit("Item "), "l_orderkey").alias("title"),
-        (F.col("l_linestatus") == "F").alias("is_merged"),
-        F.floor(F.col("l_quantity") * F.col("l_quantity") / 2).cast("int").alias("additions"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("deletions"),
-        F.pmod("l_partkey", F.lit(7)).cast("int").alias("changed_files"),
-        F.pmod("l_suppkey", F.lit(10)).cast("int").alias("remarks"),
-        "opened_at",
-        shipped.alias("ended_at"),
-        labels.alias("labels"),
-        # watch
-        F.when(status == "F", "started").otherwise("deleted").alias("watch_action"),
-        # release
-        F.concat(F.lit("v"), "l_suppkey").alias("tag_name"),
-        (F.col("l_returnflag") == "R").alias("is_prerelease"),
+    joined = order_lines.join(order, "l_orderkey").selectExpr(
+        "*",
+        "CAST(l_shipdate AS TIMESTAMP) AS shipped_at",
+        "timestampadd(HOUR, pmod(l_suppkey, 24), CAST(l_shipdate AS TIMESTAMP)) AS created_at",
+        "l_orderkey * 10 + l_linenumber AS number",
     )
+    return joined.selectExpr(*EVENT_COLUMNS)
 
 
 def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,64 +133,30 @@ def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.filter((F.col("type") != S.WATCH) | (F.col("watch_action") == "started"))
 
 
+# Payload text per type, in the shape the raw feed delivers. The draft flag of a release is
+# left out so that its default is exercised.
+_PAYLOAD = """
+    CASE type
+    WHEN 'PushEvent' THEN to_json(struct(branch_ref AS ref, commit_count AS size))
+    WHEN 'PullRequestEvent' THEN to_json(struct(action, struct(
+        object_id AS id, title, state, is_merged AS merged, additions, deletions, changed_files,
+        remarks AS review_comments, opened_at AS created_at, ended_at AS merged_at,
+        ended_at AS closed_at) AS pull_request))
+    WHEN 'IssuesEvent' THEN to_json(struct(action, struct(
+        object_id AS id, title, state, remarks AS comments, opened_at AS created_at,
+        ended_at AS closed_at, labels) AS issue))
+    WHEN 'WatchEvent' THEN to_json(struct(watch_action AS action))
+    WHEN 'ForkEvent' THEN to_json(struct(struct(
+        l_orderkey AS id, concat('fork/', repo_id) AS full_name) AS forkee))
+    ELSE to_json(struct('published' AS action, struct(
+        object_id AS id, tag_name, concat('Release ', tag_name) AS name,
+        is_prerelease AS prerelease, opened_at AS created_at, ended_at AS published_at)
+        AS release))
+    END"""
+
+
 def _payload() -> Column:
-    """Payload text per type, in the shape the raw feed delivers."""
-    pull_request = F.struct(
-        "action",
-        F.struct(
-            F.col("object_id").alias("id"),
-            "title",
-            "state",
-            F.col("is_merged").alias("merged"),
-            "additions",
-            "deletions",
-            "changed_files",
-            F.col("remarks").alias("review_comments"),
-            F.col("opened_at").alias("created_at"),
-            F.col("ended_at").alias("merged_at"),
-            F.col("ended_at").alias("closed_at"),
-        ).alias("pull_request"),
-    )
-    issue = F.struct(
-        "action",
-        F.struct(
-            F.col("object_id").alias("id"),
-            "title",
-            "state",
-            F.col("remarks").alias("comments"),
-            F.col("opened_at").alias("created_at"),
-            F.col("ended_at").alias("closed_at"),
-            "labels",
-        ).alias("issue"),
-    )
-    forkee = F.struct(
-        F.struct(
-            F.col("l_orderkey").alias("id"),
-            F.concat(F.lit("fork/"), "repo_id").alias("full_name"),
-        ).alias("forkee")
-    )
-    # the draft flag is left out so that its default is exercised
-    release = F.struct(
-        F.lit("published").alias("action"),
-        F.struct(
-            F.col("object_id").alias("id"),
-            "tag_name",
-            F.concat(F.lit("Release "), "tag_name").alias("name"),
-            F.col("is_prerelease").alias("prerelease"),
-            F.col("opened_at").alias("created_at"),
-            F.col("ended_at").alias("published_at"),
-        ).alias("release"),
-    )
-    push = F.struct(F.col("branch_ref").alias("ref"), F.col("commit_count").alias("size"))
-    kind = F.col("type")
-    return (
-        F.when(kind == S.PUSH, F.to_json(push))
-        .when(kind == S.PULL_REQUEST, F.to_json(pull_request))
-        .when(kind == S.ISSUES, F.to_json(issue))
-        .when(kind == S.WATCH, F.to_json(F.struct(F.col("watch_action").alias("action"))))
-        .when(kind == S.FORK, F.to_json(forkee))
-        .otherwise(F.to_json(release))
-    )
+    return F.expr(_PAYLOAD)
 
 
 def envelope(events: DataFrame) -> DataFrame:
@@ -265,34 +222,33 @@ def typed_payload(kind: str) -> list[Column]:
 
 
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 10 < 8)
-    day = F.date_add(
-        F.lit("1994-01-01").cast("date"), F.pmod(F.col("p_partkey") * 37, F.lit(2900)).cast("int")
-    )
-    return part.select(
-        F.col("p_partkey").alias("repo_id"),
-        F.concat(
-            "p_brand", F.lit("/"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-"), "p_partkey"
-        ).alias("repo_name"),
-        F.when(F.col("p_size") > 3, F.col("p_type")).alias("language"),
-        F.col("p_brand").alias("license"),
-        F.lower("p_name").alias("topics"),
-        F.col("p_size").alias("stars_at_extract"),
-        F.lit(None).cast("int").alias("forks_at_extract"),
-        F.lit(None).cast("string").alias("description"),
-        (F.col("p_size") >= 45).alias("is_archived"),
-        F.lit(None).cast("boolean").alias("has_readme"),
-        F.lit(None).cast("boolean").alias("has_ci"),
-        day.cast("timestamp").alias("created_at"),
+    """Metadata of the enriched repositories; every fifth part stays unknown."""
+    return (
+        table(spark, sf_dir, "part")
+        .filter("p_partkey % 10 < 8")
+        .selectExpr(
+            "p_partkey AS repo_id",
+            "concat(p_brand, '/', replace(p_name, ' ', '-'), '-', p_partkey) AS repo_name",
+            "CASE WHEN p_size > 3 THEN p_type END AS language",
+            "p_brand AS license",
+            "lower(p_name) AS topics",
+            "p_size AS stars_at_extract",
+            "CAST(NULL AS INT) AS forks_at_extract",
+            "CAST(NULL AS STRING) AS description",
+            "p_size >= 45 AS is_archived",
+            "CAST(NULL AS BOOLEAN) AS has_readme",
+            "CAST(NULL AS BOOLEAN) AS has_ci",
+            """CAST(date_add(DATE'1994-01-01', CAST(pmod(p_partkey * 37, 2900) AS INT))
+                    AS TIMESTAMP) AS created_at""",
+        )
     )
 
 
 def contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suffix = F.when(F.col("c_custkey") % 20 == 0, "[bot]").otherwise("")
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("actor_id"),
-        F.concat("c_name", suffix).alias("login"),
-        F.lit("User").alias("account_type"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS actor_id",
+        "concat(c_name, if(c_custkey % 20 = 0, '[bot]', '')) AS login",
+        "'User' AS account_type",
     )
 
 
@@ -309,8 +265,19 @@ def dim_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = conformed(spark, sf_dir).filter(F.col("type").isin(list(dims.DATED_TYPES)))
-    return dims.dim_date(dated, period=PERIOD)
+    """Hours of the dated event types.
+
+    The type is tested after grouping, not filtered before: then this branch reads the same
+    deduplicated lines as the activity it is joined with, and Spark reuses that exchange.
+    """
+    dated = F.col("type").isin(list(dims.DATED_TYPES))
+    hours = (
+        conformed(spark, sf_dir)
+        .groupBy(F.date_trunc("hour", "created_at").alias("h"))
+        .agg(F.bool_or(dated).alias("dated"))
+        .filter("dated")
+    )
+    return dims.describe_hours(hours, PERIOD)
 
 
 def keyed(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:

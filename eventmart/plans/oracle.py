@@ -10,8 +10,9 @@ import re
 
 
 def rnd(expr: str, digits: int) -> str:
-    """Half-up rounding on the decimal text, as Spark rounds doubles."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    """Half-up rounding on the decimal text of the double, as Spark rounds."""
+    text = f"CAST(CAST({expr} AS DOUBLE) AS VARCHAR)"
+    return f"CAST(ROUND(CAST({text} AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def mean2(expr: str) -> str:

@@ -17,6 +17,7 @@ from eventmart.operators import (
     facts,
     features,
     merge,
+    model,
     quality,
     risk,
     trajectory,
@@ -25,7 +26,11 @@ from eventmart.operators import (
 )
 from eventmart.plans import fixtures as X
 from eventmart.plans import oracle as O
-from eventmart.session import configure
+from eventmart.session import configure, durable, work_path
+from eventmart.sources.events import read_events, read_shards, slim_events, write_events
+from eventmart.sources.snapshots import Table, mirror
+from eventmart.streaming import activity as streaming
+from eventmart.streaming.ingest import event_stream, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -940,3 +945,270 @@ def cluster_labels(spark, d):
 @query("language_trend", "SELECT * FROM trend")
 def language_trend(spark, d):
     return _trend(spark, d)
+
+
+# ---- sources, tables and streams: written to the shared folder and read back ------------------
+
+
+def _raw_files(spark, d, events: DataFrame) -> str:
+    """The envelope of the events as gzip JSON lines, a folder per year."""
+    path = work_path(spark, "raw")
+    write_events(X.envelope(events), path)
+    return path
+
+
+_ALWAYS = "2100-01-01"
+_ROUTED = f"""SELECT {_TABLE_OF} AS table_name, year, COUNT(*) AS n_rows,
+                     MIN(event_id) AS first_id, MAX(event_id) AS last_id
+              FROM conf GROUP BY 1, 2"""
+
+
+@query("read_events", f"SELECT {_FLAT_COLUMNS} FROM ev")
+def read_events_query(spark, d):
+    """Events written as JSON lines, read back and conformed."""
+    raw = read_events(spark, _raw_files(spark, d, X.unique_events(spark, d)), "*.gz")
+    return conform.conform(raw, X.EARLIEST, _ALWAYS).drop("payload", "source_file")
+
+
+@query(
+    "slim_events",
+    """SELECT event_id AS id, type, false AS has_extra,
+              CASE WHEN type = 'PushEvent' THEN commit_count END AS size,
+              CASE WHEN type = 'PushEvent' THEN branch_ref END AS ref
+       FROM ev WHERE type <> 'ReleaseEvent'""",
+)
+def slim_events_query(spark, d):
+    """Payloads with fields nobody reads, slimmed."""
+    raw = X.envelope(X.unique_events(spark, d))
+    heavy = F.concat(F.lit('{"extra": {"diff": "@@"}, '), F.expr("substring(payload, 2)"))
+    slim = slim_events(raw.withColumn("payload", heavy))
+    push = F.from_json("payload", S.PAYLOADS[S.PUSH])
+    return slim.select(
+        "id",
+        "type",
+        F.col("payload").contains("extra").alias("has_extra"),
+        F.when(F.col("type") == S.PUSH, push["size"]).alias("size"),
+        F.when(F.col("type") == S.PUSH, push["ref"]).alias("ref"),
+    )
+
+
+_METADATA = """
+    SELECT p_partkey AS repo_id, p_brand || '/' || p_name AS repo_name, p_type AS language,
+           p_brand AS license, replace(p_name, ' ', ',') AS topics, p_size AS stars_at_extract,
+           p_size * 2 AS forks_at_extract, {description} AS description,
+           p_size >= 45 AS is_archived, CAST(NULL AS BOOLEAN) AS has_readme,
+           CAST(NULL AS BOOLEAN) AS has_ci, TIMESTAMP '1998-05-06 07:08:09' AS created_at
+    FROM part"""
+
+
+def _responses(spark, d) -> DataFrame:
+    """Metadata responses made from the parts, through their JSON form."""
+    text = F.expr(
+        """to_json(struct(p_partkey AS id, concat(p_brand, '/', p_name) AS full_name,
+             p_type AS language, struct(p_brand AS spdx_id) AS license,
+             split(p_name, ' ') AS topics, p_size AS stargazers_count,
+             p_size * 2 AS forks_count,
+             if(p_size > 10, repeat(p_name, 60), NULL) AS description,
+             p_size >= 45 AS archived, '1998-05-06T07:08:09Z' AS created_at))"""
+    )
+    response = F.from_json(text, S.METADATA_RESPONSE)
+    return X.table(spark, d, "part").select(response.alias("r")).select("r.*")
+
+
+@query(
+    "conform_metadata",
+    _METADATA.format(
+        description="CASE WHEN p_size > 10 THEN substr(repeat(p_name, 60), 1, 500) ELSE '' END"
+    ),
+)
+def conform_metadata(spark, d):
+    return enrich.conform_metadata(_responses(spark, d))
+
+
+@query(
+    "merge_shards",
+    "SELECT repo_id, repo_name, language, stars_at_extract, created_at FROM repos",
+)
+def merge_shards(spark, d):
+    """Shards written as year=Y/shard=I with every row in two shards, read back and merged."""
+    rows = X.repositories(spark, d).withColumns(
+        {
+            "created_at": F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"),
+            "year": F.lit(_YEAR),
+            "shard": F.explode(F.array(F.lit(0), F.lit(1))),
+        }
+    )
+    path = work_path(spark, "shards")
+    rows.write.partitionBy("year", "shard").parquet(path)
+    merged = enrich.merge_shards(read_shards(spark, path, _YEAR))
+    return merged.select("repo_id", "repo_name", "language", "stars_at_extract", "created_at")
+
+
+def _written_target(spark, d) -> tuple[Table, DataFrame]:
+    target, batch = _merge_sides(spark, d)
+    table = Table(spark, work_path(spark, "tables"), "orders")
+    table.overwrite(target, partition="year")
+    return table, batch
+
+
+@query(
+    "table_insert_only",
+    f"""SELECT *, CAST(NULL AS VARCHAR) AS status FROM ({_TARGET}) UNION ALL
+        SELECT * FROM ({_BATCH}) b
+        WHERE NOT EXISTS (SELECT 1 FROM ({_TARGET}) t WHERE t.o_orderkey = b.o_orderkey)""",
+)
+def table_insert_only(spark, d):
+    """The same batch inserted twice into a stored table: the second time adds nothing."""
+    table, batch = _written_target(spark, d)
+    table.insert_only(batch, ["o_orderkey"])
+    table.insert_only(batch, ["o_orderkey"])
+    return table.read()
+
+
+@query(
+    "table_upsert",
+    f"""SELECT * FROM ({_BATCH}) UNION ALL
+        SELECT *, CAST(NULL AS VARCHAR) AS status FROM ({_TARGET}) t
+        WHERE NOT EXISTS (SELECT 1 FROM ({_BATCH}) b
+                          WHERE b.o_orderkey = t.o_orderkey AND b.year = t.year)""",
+)
+def table_upsert(spark, d):
+    """A batch upserted twice into a stored table, which is then compacted."""
+    table, batch = _written_target(spark, d)
+    table.upsert(batch, ["o_orderkey", "year"])
+    table.upsert(batch, ["o_orderkey", "year"])
+    table.compact()
+    return table.read()
+
+
+@query("mirror_audit")
+def mirror_audit(spark, d):
+    """A stored dimension mirrored with run id and load time; the missing table is skipped."""
+    root, copies = work_path(spark, "tables"), work_path(spark, "mirror")
+    Table(spark, root, "dim_contributor").overwrite(X.dim_contributor(spark, d))
+    done = mirror(spark, root, copies, ["dim_contributor", "dim_language"])
+    return spark.read.parquet(*(f"{copies}/{name}" for name in done))
+
+
+@query("stream_ingest", _ROUTED)
+def stream_ingest(spark, d):
+    """Files drained by the stream into the typed tables, which a second run leaves alone."""
+    root, raw = work_path(spark, "tables"), _raw_files(spark, d, X.unique_events(spark, d))
+    checkpoint = work_path(spark, "progress")
+    for _ in range(2):
+        stream = event_stream(spark, raw)
+        ingest(stream, root, checkpoint, X.EARLIEST, _ALWAYS).start().awaitTermination()
+    parts = [
+        Table(spark, root, name).read().select(
+            F.lit(name).alias("table_name"), "year", "event_id"
+        )
+        for name in S.EVENT_TABLES.values()
+        if Table(spark, root, name).exists()
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionAll(part)
+    return rows.groupBy("table_name", "year").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("event_id").alias("first_id"),
+        F.max("event_id").alias("last_id"),
+    )
+
+
+_CLICK_TYPES = ("signup", "error", "click", "view", "purchase")
+
+
+def _clicks(frame: DataFrame) -> DataFrame:
+    return frame.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("created_at"),
+        F.col("event_type").alias("type"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("repo_id"),
+        F.col("user_id").alias("actor_id"),
+    )
+
+
+def _click_stream(spark, d, copies: int) -> DataFrame:
+    """The events table as a file stream of several micro-batches, each row `copies` times."""
+    path = work_path(spark, "clicks")
+    rows = _clicks(X.table(spark, d, "events"))
+    many = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    many.repartition(4, "event_id", "copy").drop("copy").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+@query(
+    "stream_dedup",
+    """SELECT event_id, ts AS created_at, event_type AS type, user_id AS actor_id
+       FROM events""",
+)
+def stream_dedup(spark, d):
+    """Every event delivered three times over several micro-batches, kept once."""
+    unique = streaming.dedup_stream(_click_stream(spark, d, 3), "400 days")
+    sink, progress = work_path(spark, "unique"), work_path(spark, "progress")
+    (
+        unique.writeStream.option("checkpointLocation", progress)
+        .trigger(availableNow=True)
+        .start(sink, format="parquet", outputMode="append")
+        .awaitTermination()
+    )
+    return spark.read.parquet(sink).select("event_id", "created_at", "type", "actor_id")
+
+
+@query(
+    "stream_activity",
+    f"""SELECT CAST(ts AS DATE) AS window_day, date_trunc('hour', ts) AS window_start,
+               CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS repo_id,
+               COUNT(*) AS n_events,
+               {', '.join(
+                   f"COUNT(*) FILTER (WHERE event_type = '{t}') AS n_{t}" for t in _CLICK_TYPES)}
+        FROM events GROUP BY 1, 2, 3""",
+)
+def stream_activity(spark, d):
+    """Hourly counts kept up to date by the stream; they must equal the batch result."""
+    counts = streaming.hourly_counts(_click_stream(spark, d, 1), _CLICK_TYPES, "400 days")
+    root, progress = work_path(spark, "tables"), work_path(spark, "progress")
+    streaming.upsert_stream(counts, root, "hourly", progress).start().awaitTermination()
+    return Table(spark, root, "hourly").read()
+
+
+# ---- fitted models (not expressible in SQL) ----------------------------------------------------
+
+
+def _model_rows(spark, d) -> tuple[DataFrame, DataFrame]:
+    labelled = _labelled(spark, d)
+    rows = model.training_rows(_features(spark, d, labelled))
+    return risk.temporal_split(rows, X.AS_OF_YEAR)
+
+
+def _trained(spark, d, trees=(20,), depths=(5,)) -> model.Training:
+    return model.train(*_model_rows(spark, d), trees=trees, depths=depths, folds=2)
+
+
+@query("model_training")
+def model_training(spark, d):
+    """Outcomes of the test rows under the forest chosen by cross-validation."""
+    result = _trained(spark, d, trees=(10, 20))
+    return model.test_predictions(result.predictions, "200112", X.AS_OF)
+
+
+@query("feature_importance")
+def feature_importance(spark, d):
+    train_rows, test_rows = _model_rows(spark, d)
+    fitted = model.train(train_rows, test_rows, trees=(20,), depths=(5,))
+    return model.feature_importance(fitted.model, train_rows, "200112")
+
+
+@query("score_repos")
+def score_repos(spark, d):
+    fitted = _trained(spark, d)
+    ready = durable(_features(spark, d, _born(spark, d)))
+    return model.score(fitted.model, ready, X.dim_repository(spark, d), "200112", X.AS_OF)
+
+
+@query("trajectory_clusters")
+def trajectory_clusters(spark, d):
+    vectors = trajectory.yearly_vectors(_activity(spark, d), X.YEARS)
+    clustered = trajectory.cluster(vectors, X.YEARS, max_iter=20)
+    grown = trajectory.with_growth(clustered, X.YEARS, X.EARLY_YEARS_TO)
+    return trajectory.trajectory_table(trajectory.cluster_labels(grown), X.AS_OF)

@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     # aggregate above the join one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # no Python stack capture per column expression while plans are built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
