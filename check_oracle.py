@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import decimal
 import glob
 import os
 import time
@@ -17,39 +18,65 @@ from eventmart.plans.queries import ORACLE, QUERIES
 from eventmart.session import build_session
 
 
-def normal(frame: pd.DataFrame) -> pd.DataFrame:
+def normal(frame: pd.DataFrame, digits: int = 9) -> pd.DataFrame:
     """Columns by name, values as comparable text, rows in order."""
-    out = pd.DataFrame(index=frame.index)
-    for name in sorted(frame.columns):
-        column = frame[name]
-        if pd.api.types.is_float_dtype(column):
-            out[name] = column.map(lambda v: "" if pd.isna(v) else f"{v:.9g}")
-        elif pd.api.types.is_datetime64_any_dtype(column):
-            out[name] = column.dt.strftime("%Y-%m-%d %H:%M:%S").fillna("")
-        else:
-            out[name] = column.map(_text)
+    out = pd.DataFrame(
+        {name: [_text(v, digits) for v in frame[name]] for name in sorted(frame.columns)}
+    )
     return out.sort_values(list(out.columns)).reset_index(drop=True)
 
 
-def _text(value) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and pd.isna(value)):
-        return ""
-    if value is pd.NA:
+def _text(value, digits: int) -> str:
+    if value is None:
         return ""
     if isinstance(value, float):
-        return f"{value:.9g}"
-    text = str(value)
-    return text.removesuffix(" 00:00:00")
+        return "" if value != value else f"{value:.{digits}g}"
+    if isinstance(value, decimal.Decimal):
+        return f"decimal {value}"
+    return str(value)
+
+
+def connect(duckdb, sf_dir: str):
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for file in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(file).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{file}')")
+    return con
 
 
 def rows(frame) -> pd.DataFrame:
     return pd.DataFrame([tuple(r) for r in frame.collect()], columns=frame.columns, dtype=object)
 
 
+def expected(con, sql: str) -> pd.DataFrame:
+    result = con.execute(sql)
+    names = [c[0] for c in result.description]
+    return pd.DataFrame(result.fetchall(), columns=names, dtype=object)
+
+
+def both(spark, con, sf_dir: str, query, sql: str) -> tuple[pd.DataFrame, pd.DataFrame]:
+    return rows(query(spark, sf_dir)), expected(con, sql)
+
+
+def type_differences(frame, con, sql: str) -> list[str]:
+    """Columns whose Spark and SQL types differ, after mapping names."""
+    same = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+            "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+            "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+    want = {c[0]: str(c[1]) for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{name}: {kind} vs {want.get(name)}"
+        for name, kind in frame.dtypes
+        if same.get(kind, kind) != want.get(name)
+    ]
+
+
 def main() -> int:
     args = argparse.ArgumentParser()
     args.add_argument("--sf", default="/root/testdata/sf0.01")
     args.add_argument("--only", default="")
+    args.add_argument("--digits", type=int, default=9, help="significant digits compared")
     opts = args.parse_args()
     spark = build_session(
         "check",
@@ -57,16 +84,13 @@ def main() -> int:
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
-    for file in glob.glob(f"{opts.sf}/*.parquet"):
-        name = os.path.basename(file).removesuffix(".parquet")
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{file}')")
+    con = connect(duckdb, opts.sf)
     bad = 0
     for name in [n for n in opts.only.split(",") if n] or QUERIES:
         start = time.time()
         try:
-            got = rows(QUERIES[name](spark, opts.sf))
+            frame = QUERIES[name](spark, opts.sf)
+            got = rows(frame)
         except Exception as error:
             bad += 1
             print(f"FAIL {name}: {type(error).__name__} {str(error)[:2500]} {str(getattr(error, "java_exception", ""))[:2500]}")
@@ -76,9 +100,9 @@ def main() -> int:
             print(f"rows {name}: {len(got)} ({took:.1f}s)")
             continue
         try:
-            result = con.execute(ORACLE[name])
-            names = [c[0] for c in result.description]
-            want = pd.DataFrame(result.fetchall(), columns=names, dtype=object)
+            want = expected(con, ORACLE[name])
+            for line in type_differences(frame, con, ORACLE[name]):
+                print(f"type {name}: {line}")
         except Exception as error:
             bad += 1
             print(f"FAIL oracle {name}: {str(error)[:2500]} {str(getattr(error, "java_exception", ""))[:2500]}")
@@ -87,7 +111,7 @@ def main() -> int:
             bad += 1
             print(f"DIFF {name}: columns {sorted(set(got.columns) ^ set(want.columns))}")
             continue
-        left, right = normal(got), normal(want)
+        left, right = normal(got, opts.digits), normal(want, opts.digits)
         if left.equals(right):
             print(f"ok   {name}: {len(got)} rows ({took:.1f}s)")
         else:
