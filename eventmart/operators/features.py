@@ -176,6 +176,36 @@ def contributor_features(
     )
 
 
+def push_side_features(
+    pushes: DataFrame, contributors: DataFrame, repositories: DataFrame
+) -> DataFrame:
+    """Push and contributor features together, from one join with the creation days.
+
+    The early pushes are counted at (repository, branch, contributor) grain first. The
+    contributor join and the two distinct counts then work on that smaller frame.
+    """
+    people = contributors.filter(~F.col("is_bot")).select(
+        "contributor_key", F.col("contributor_key").alias("person")
+    )
+    grain = (
+        _with_dates(pushes, repositories)
+        .filter(_early())
+        .groupBy("repo_key", "branch_ref", "is_default_branch", "contributor_key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    on_default = F.sum(F.col("is_default_branch").cast("bigint") * F.col("n"))
+    with_branch = F.sum(F.when(F.col("is_default_branch").isNotNull(), F.col("n")))
+    return (
+        grain.join(people, "contributor_key", "left")
+        .groupBy("repo_key")
+        .agg(
+            F.count_distinct("branch_ref").alias("unique_branches"),
+            (on_default.cast("double") / with_branch).alias("default_branch_push_ratio"),
+            F.nullif(F.count_distinct("person"), F.lit(0)).alias("total_unique_contributors"),
+        )
+    )
+
+
 def build_features(
     repositories: DataFrame,
     activity: DataFrame,
@@ -196,9 +226,8 @@ def build_features(
 
     parts = (
         activity_features(activity, repositories, boundary),
-        push_features(pushes, repositories),
+        push_side_features(pushes, contributors, repositories),
         pr_features(prs, repositories),
-        contributor_features(pushes, contributors, repositories),
     )
     out = repositories.drop("repo_created_date")
     for part in parts:

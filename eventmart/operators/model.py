@@ -60,10 +60,10 @@ def prepare_features(features: DataFrame) -> DataFrame:
 
 
 def training_rows(features: DataFrame) -> DataFrame:
-    """Prepared features with class weights, checkpointed.
+    """Prepared features with class weights, written out.
 
-    Every candidate fit reads these rows many times over. The first checkpoint keeps the
-    count of the classes from going back to the events, the second one fixes the weight.
+    Every candidate fit reads these rows many times over. The first copy keeps the count
+    of the classes from going back to the events, the second one fixes the weight.
     """
     rows = durable(prepare_features(features))
     return durable(with_class_weight(rows, class_balance(rows)))

@@ -104,7 +104,7 @@ def cluster(
     """K-Means on min-max scaled vectors with k chosen by silhouette.
 
     Returns the vectors with a cluster_id, or None for fewer than `min_repos` rows. The
-    vectors are checkpointed, so neither the fits nor a lost executor go back to the event
+    vectors are written out, so neither the fits nor a lost executor go back to the event
     data; the scaled form is cached for the candidate fits. The best fit is used as it is
     instead of being fitted again.
     """

@@ -155,10 +155,6 @@ _PAYLOAD = """
     END"""
 
 
-def _payload() -> Column:
-    return F.expr(_PAYLOAD)
-
-
 def envelope(events: DataFrame) -> DataFrame:
     """Raw envelope of the events, as read from the archive files."""
     return events.select(
@@ -169,13 +165,17 @@ def envelope(events: DataFrame) -> DataFrame:
             "actor"
         ),
         F.struct(F.col("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
-        _payload().alias("payload"),
+        F.expr(_PAYLOAD).alias("payload"),
     )
 
 
-def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flattened unique events with their payload text, input of the typed projections."""
+def flat_events(
+    spark: SparkSession, sf_dir: str, kind: str | None = None, payload: str = _PAYLOAD
+) -> DataFrame:
+    """Flattened unique events (of one type) with their payload text."""
     events = unique_events(spark, sf_dir)
+    if kind:
+        events = events.filter(F.col("type") == kind)
     return events.select(
         "event_id",
         "type",
@@ -185,7 +185,7 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "actor_login",
         "repo_id",
         "repo_name",
-        _payload().alias("payload"),
+        F.expr(payload).alias("payload"),
         F.concat(
             F.date_format("created_at", "yyyy/yyyy-MM-dd"),
             F.lit("-"),
@@ -222,10 +222,10 @@ def typed_payload(kind: str) -> list[Column]:
 
 
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of the enriched repositories; every fifth part stays unknown."""
+    """Metadata of the enriched repositories; parts of some brands were never enriched."""
     return (
         table(spark, sf_dir, "part")
-        .filter("p_partkey % 10 < 8")
+        .filter("p_brand NOT LIKE 'Brand#2%'")
         .selectExpr(
             "p_partkey AS repo_id",
             "concat(p_brand, '/', replace(p_name, ' ', '-'), '-', p_partkey) AS repo_name",

@@ -124,7 +124,7 @@ BLOCKS: dict[str, str] = {
                CAST(NULL AS BOOLEAN) AS has_ci,
                CAST(DATE '1994-01-01' + CAST((p_partkey * 37) % 2900 AS INTEGER) AS TIMESTAMP)
                    AS created_at
-        FROM part WHERE p_partkey % 10 < 8""",
+        FROM part WHERE p_brand NOT LIKE 'Brand#2%'""",
     "drepo": """
         SELECT repo_id AS repo_key, repo_id, repo_name,
                split_part(repo_name, '/', 1) AS owner_login,

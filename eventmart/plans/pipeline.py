@@ -10,7 +10,6 @@ import uuid
 from collections.abc import Sequence
 from datetime import UTC, date, datetime
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +30,8 @@ from eventmart.operators import (
     trends,
     views,
 )
-from eventmart.session import configure, durable
-from eventmart.sources.events import read_events, read_metadata, read_shards
+from eventmart.session import configure, drop_work, durable, path_exists, work_path
+from eventmart.sources.events import read_events, read_metadata, read_shards, stage_by_type
 from eventmart.sources.snapshots import Table
 from eventmart.streaming.ingest import merge_batch
 
@@ -81,16 +80,16 @@ class Mart:
         raw = read_events(self.spark, paths, pattern)
         if mode == INCREMENTAL:
             return merge_batch(raw, self.root, earliest, self.as_of)
-        events = conform.conform(raw, earliest, self.as_of).persist(StorageLevel.MEMORY_AND_DISK)
-        typed = conform.route(events)
+        staged = work_path(self.spark, "events")
+        events = stage_by_type(conform.conform(raw, earliest, self.as_of), staged)
         added = {
             name: self.table(name).overwrite(rows, partition="year")
-            for name, rows in typed.items()
+            for name, rows in conform.route(events).items()
         }
-        accepted = {kind: self.read(name) for kind, name in S.EVENT_TABLES.items()}
+        accepted = quality.tagged({kind: self.silver(kind) for kind in S.EVENT_TYPES})
         audit = quality.dq_audit(events, accepted, mode, self.as_of)
         self.table("dq_audit").overwrite(audit)
-        events.unpersist()
+        drop_work(self.spark, staged)
         return added
 
     def silver(self, kind: str) -> DataFrame:
@@ -265,11 +264,13 @@ class Mart:
         return metadata
 
     def score(self) -> int:
-        """Score all repositories with the current model; 0 if there is none yet."""
+        """Score all repositories with the current model; 0 if there is none to load."""
         current = self.table("ml_model_current")
         if not current.exists():
             return 0
         pointer = current.read().first()
+        if not path_exists(self.spark, pointer["model_path"]):
+            return 0
         repositories = self.read("dim_repository")
         dated = repositories.withColumn("repo_created_date", F.to_date("created_at"))
         dated = dated.filter(F.col("repo_created_date").isNotNull()).select(

@@ -27,7 +27,13 @@ from eventmart.operators import (
 from eventmart.plans import fixtures as X
 from eventmart.plans import oracle as O
 from eventmart.session import configure, durable, work_path
-from eventmart.sources.events import read_events, read_shards, slim_events, write_events
+from eventmart.sources.events import (
+    read_events,
+    read_shards,
+    slim_events,
+    stage_by_type,
+    write_events,
+)
 from eventmart.sources.snapshots import Table, mirror
 from eventmart.streaming import activity as streaming
 from eventmart.streaming.ingest import event_stream, ingest
@@ -80,10 +86,10 @@ def _born(spark, d):
     return X.dim_repository(spark, d).withColumn("repo_created_date", F.to_date("created_at"))
 
 
-def _labelled(spark, d):
-    return risk.labelled_repositories(
-        X.dim_repository(spark, d), _activity(spark, d), X.AS_OF_YEAR
-    )
+def _labelled(spark, d, hourly=None):
+    if hourly is None:
+        hourly = _activity(spark, d)
+    return risk.labelled_repositories(X.dim_repository(spark, d), hourly, X.AS_OF_YEAR)
 
 
 # ---- filters, projections, dedup ---------------------------------------------------------
@@ -167,7 +173,7 @@ def _silver_sql(kind: str, columns: str = "", where: str = "") -> str:
 
 @query("silver_push", _silver_sql(S.PUSH, "commit_count, branch_ref,"))
 def silver_push(spark, d):
-    return conform.push_events(X.flat_events(spark, d))
+    return conform.push_events(X.flat_events(spark, d, S.PUSH))
 
 
 @query(
@@ -180,7 +186,7 @@ def silver_push(spark, d):
     ),
 )
 def silver_pr(spark, d):
-    return conform.pr_events(X.flat_events(spark, d))
+    return conform.pr_events(X.flat_events(spark, d, S.PULL_REQUEST))
 
 
 @query(
@@ -192,12 +198,12 @@ def silver_pr(spark, d):
     ),
 )
 def silver_issues(spark, d):
-    return conform.issues_events(X.flat_events(spark, d))
+    return conform.issues_events(X.flat_events(spark, d, S.ISSUES))
 
 
 @query("silver_watch", _silver_sql(S.WATCH, where=" AND watch_action = 'started'"))
 def silver_watch(spark, d):
-    return conform.watch_events(X.flat_events(spark, d))
+    return conform.watch_events(X.flat_events(spark, d, S.WATCH))
 
 
 @query(
@@ -205,7 +211,7 @@ def silver_watch(spark, d):
     _silver_sql(S.FORK, "l_orderkey AS fork_id, 'fork/' || repo_id AS fork_name,"),
 )
 def silver_fork(spark, d):
-    return conform.fork_events(X.flat_events(spark, d))
+    return conform.fork_events(X.flat_events(spark, d, S.FORK))
 
 
 @query(
@@ -214,15 +220,9 @@ def silver_fork(spark, d):
 )
 def silver_create(spark, d):
     """The test events have no create type; the fork lines are re-labelled for it."""
-    events = X.flat_events(spark, d).filter(F.col("type") == S.FORK).drop("payload")
-    details = X.unique_events(spark, d).select(
-        "event_id",
-        F.to_json(
-            F.struct(F.col("branch_ref").alias("ref_type"), F.col("title").alias("description"))
-        ).alias("payload"),
-    )
-    created = events.withColumn("type", F.lit(S.CREATE)).join(details, "event_id")
-    return conform.create_events(created)
+    payload = "to_json(struct(branch_ref AS ref_type, title AS description))"
+    forks = X.flat_events(spark, d, S.FORK, payload)
+    return conform.create_events(forks.withColumn("type", F.lit(S.CREATE)))
 
 
 @query(
@@ -235,7 +235,7 @@ def silver_create(spark, d):
     ),
 )
 def silver_release(spark, d):
-    return conform.release_events(X.flat_events(spark, d))
+    return conform.release_events(X.flat_events(spark, d, S.RELEASE))
 
 
 _TABLE_OF = "CASE type " + " ".join(
@@ -251,9 +251,10 @@ _TABLE_OF = "CASE type " + " ".join(
 )
 def route_events(spark, d):
     """Rows per table and year after routing one envelope to all typed tables."""
+    staged = stage_by_type(X.flat_events(spark, d), work_path(spark, "events"))
     parts = [
         frame.select(F.lit(name).alias("table_name"), "year", "event_id")
-        for name, frame in conform.route(X.flat_events(spark, d)).items()
+        for name, frame in conform.route(staged).items()
     ]
     routed = parts[0]
     for part in parts[1:]:
@@ -275,9 +276,9 @@ def route_events(spark, d):
                ON k.event_type = a.type""",
 )
 def dq_audit(spark, d):
-    flat = X.flat_events(spark, d)
-    accepted = {kind: project(flat) for kind, project in conform.PROJECTORS.items()}
-    return quality.dq_audit(flat, accepted, "full_refresh", X.AS_OF)
+    staged = stage_by_type(X.flat_events(spark, d), work_path(spark, "events"))
+    accepted = {kind: project(staged) for kind, project in conform.PROJECTORS.items()}
+    return quality.dq_audit(staged, quality.tagged(accepted), "full_refresh", X.AS_OF)
 
 
 @query(
@@ -829,10 +830,10 @@ def features_lifetime(spark, d):
     return features.lifetime(_activity(spark, d))
 
 
-def _features(spark, d, repositories):
+def _features(spark, d, repositories, hourly):
     return features.build_features(
         repositories,
-        _activity(spark, d),
+        hourly,
         _fact_push(spark, d),
         _fact_pr(spark, d),
         X.dim_contributor(spark, d),
@@ -842,7 +843,8 @@ def _features(spark, d, repositories):
 
 @query("features_all", "SELECT * FROM feat")
 def features_all(spark, d):
-    return _features(spark, d, _labelled(spark, d))
+    hourly = durable(_activity(spark, d))
+    return _features(spark, d, _labelled(spark, d, hourly), hourly)
 
 
 @query("abandonment_labels", "SELECT * FROM labelled")
@@ -1176,8 +1178,9 @@ def stream_activity(spark, d):
 
 
 def _model_rows(spark, d) -> tuple[DataFrame, DataFrame]:
-    labelled = _labelled(spark, d)
-    rows = model.training_rows(_features(spark, d, labelled))
+    hourly = durable(_activity(spark, d))
+    labelled = _labelled(spark, d, hourly)
+    rows = model.training_rows(_features(spark, d, labelled, hourly))
     return risk.temporal_split(rows, X.AS_OF_YEAR)
 
 
@@ -1202,7 +1205,7 @@ def feature_importance(spark, d):
 @query("score_repos")
 def score_repos(spark, d):
     fitted = _trained(spark, d)
-    ready = durable(_features(spark, d, _born(spark, d)))
+    ready = durable(_features(spark, d, _born(spark, d), _activity(spark, d)))
     return model.score(fitted.model, ready, X.dim_repository(spark, d), "200112", X.AS_OF)
 
 

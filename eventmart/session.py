@@ -66,10 +66,28 @@ def work_path(spark: SparkSession, name: str) -> str:
     return posixpath.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def durable(frame: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame with a reliable checkpoint in the shared folder."""
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return frame.checkpoint()
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def drop_work(spark: SparkSession, path: str) -> None:
+    """Remove a folder made with `work_path`."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def durable(frame: DataFrame, name: str = "frame") -> DataFrame:
+    """Cut the lineage of a frame: write it to the shared folder and read it back.
+
+    Compared with an RDD checkpoint the copy is columnar: later reads prune columns, and
+    the planner knows its size.
+    """
+    path = work_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

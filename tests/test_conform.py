@@ -173,7 +173,7 @@ def test_audit_counts_every_type(spark, files):
         event("3", type=S.WATCH, payload={"action": "deleted"}),
     )
     accepted = {kind: project(frame) for kind, project in conform.PROJECTORS.items()}
-    got = as_dict(quality.dq_audit(frame, accepted, "full_refresh"), "event_type")
+    got = as_dict(quality.dq_audit(frame, quality.tagged(accepted), "full_refresh"), "event_type")
     assert len(got) == 7
     assert (got[S.WATCH]["raw_count"], got[S.WATCH]["accepted_count"]) == (2, 1)
     assert (got[S.FORK]["raw_count"], got[S.FORK]["accepted_count"]) == (0, 0)

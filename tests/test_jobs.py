@@ -253,6 +253,54 @@ def test_every_query_but_the_fitted_ones_has_sql():
     }
 
 
+EAGER = {
+    "table_insert_only",
+    "table_upsert",
+    "mirror_audit",
+    "merge_shards",
+    "read_events",
+    "route_events",
+    "dq_audit",
+    "stream_ingest",
+    "stream_dedup",
+    "stream_activity",
+    "features_all",
+    "model_training",
+    "feature_importance",
+    "score_repos",
+    "trajectory_clusters",
+}
+
+
+def test_plans_hold_without_broadcasts(spark):
+    """With every side too big to broadcast, no query needs a cross or nested-loop join."""
+    from eventmart.plans.queries import QUERIES
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in sorted(set(QUERIES) - EAGER):
+            frame = QUERIES[name](spark, "/root/testdata/sf0.001")
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+            # the one broadcast asked for is the lookup of at most six cluster names
+            allowed = name in {"cluster_labels", "vw_repo_trajectories"}
+            assert allowed or "BroadcastExchange" not in plan, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_scans_read_only_the_columns_and_rows_they_need(spark):
+    from eventmart.plans.queries import QUERIES
+
+    frame = QUERIES["dim_contributor"](spark, "/root/testdata/sf0.001")
+    plan = frame.select("contributor_key")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c_custkey:bigint>" in plan
+    frame = QUERIES["merge_upsert"](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "o_orderpriority" not in plan and "o_custkey" not in plan
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as entry
 
