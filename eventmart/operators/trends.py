@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions import vocab as V
 from eventmart.functions.columns import ladder
 
 
+def _settled(value: Column) -> Column:
+    """Take off the noise of the last bits, which depends on the order of the rows.
+
+    Shares have three decimals, so slopes do fall exactly between two rounded values or on
+    a threshold; without this, noise would decide those cases.
+    """
+    return F.round(value, 10)
+
+
 def language_trend(
     yearly: DataFrame,
     languages: DataFrame,
@@ -32,18 +41,17 @@ def language_trend(
         .agg(
             F.count(F.lit(1)).alias("n"),
             (F.min(y) < F.max(y)).alias("varies"),
-            F.regr_slope(y, x).alias("slope"),
+            _settled(F.regr_slope(y, x)).alias("slope"),
             F.regr_intercept(y, x).alias("level"),
-            F.regr_r2(y, x).alias("r2"),
+            _settled(F.regr_r2(y, x)).alias("r2"),
         )
         .filter((F.col("n") >= min_years) & F.col("varies"))
     )
-    forecasts = [
-        F.round(
-            F.greatest(F.lit(0.0), F.col("level") + F.col("slope") * float(year - origin)), 4
-        ).alias(f"forecast_{year}_share")
-        for year in forecast_years
-    ]
+
+    def forecast(year: int) -> Column:
+        share = _settled(F.col("level") + F.col("slope") * float(year - origin))
+        return F.round(F.greatest(F.lit(0.0), share), 4).alias(f"forecast_{year}_share")
+
     at = F.lit(computed_at).cast("timestamp") if computed_at else F.current_timestamp()
     named = languages.select("language_key", "language_name")
     return (
@@ -52,7 +60,7 @@ def language_trend(
             "language_key",
             F.round("slope", 4).alias("slope_pct_per_year"),
             F.round("r2", 4).alias("r_squared"),
-            *forecasts,
+            *map(forecast, forecast_years),
             ladder(F.col("slope"), V.TREND_LABELS, V.TREND_BELOW, "gt").alias("trend_label"),
             "language_name",
             at.alias("computed_at"),

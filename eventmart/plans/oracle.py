@@ -421,15 +421,16 @@ BLOCKS: dict[str, str] = {
     "trend": f"""
         SELECT t.language_key, {rnd('slope', 4)} AS slope_pct_per_year,
                {rnd('r2', 4)} AS r_squared,
-               {rnd('greatest(0.0, base + slope * 2002)', 4)} AS forecast_2002_share,
-               {rnd('greatest(0.0, base + slope * 2003)', 4)} AS forecast_2003_share,
+               {rnd(f"greatest(0.0, {rnd('base + slope * 2002', 10)})", 4)} AS forecast_2002_share,
+               {rnd(f"greatest(0.0, {rnd('base + slope * 2003', 10)})", 4)} AS forecast_2003_share,
                CASE WHEN slope > 0.5 THEN 'Strongly Growing' WHEN slope > 0.1 THEN 'Growing'
                     WHEN slope > -0.1 THEN 'Stable' WHEN slope > -0.5 THEN 'Declining'
                     ELSE 'Strongly Declining' END AS trend_label,
                l.language_name, TIMESTAMP '2001-12-31 00:00:00' AS computed_at
-        FROM (SELECT language_key, regr_slope(market_share_pct, year) AS slope,
-                     regr_intercept(market_share_pct, year) AS base,
-                     regr_r2(market_share_pct, year) AS r2
+        FROM (SELECT language_key, {rnd('regr_slope(market_share_pct, year)', 10)} AS slope,
+                     avg(market_share_pct) - regr_slope(market_share_pct, year) * avg(year)
+                         AS base,
+                     {rnd('regr_r2(market_share_pct, year)', 10)} AS r2
               FROM langyear GROUP BY language_key
               HAVING COUNT(*) >= 3 AND MIN(market_share_pct) < MAX(market_share_pct)) t
         LEFT JOIN dlang l ON t.language_key = l.language_key""",

@@ -75,8 +75,12 @@ class Mart:
         mode: str = INCREMENTAL,
         pattern: str | None = None,
         earliest: str = V.EARLIEST_EVENT,
+        keep_audits: bool = False,
     ) -> dict[str, int]:
-        """Raw files into the typed tables; a full refresh replaces them and audits."""
+        """Raw files into the typed tables; a full refresh replaces them and audits.
+
+        The audit replaces the one before it, unless `keep_audits` appends to a history.
+        """
         raw = read_events(self.spark, paths, pattern)
         if mode == INCREMENTAL:
             return merge_batch(raw, self.root, earliest, self.as_of)
@@ -88,7 +92,8 @@ class Mart:
         }
         accepted = quality.tagged({kind: self.silver(kind) for kind in S.EVENT_TYPES})
         audit = quality.dq_audit(events, accepted, mode, self.as_of)
-        self.table("dq_audit").overwrite(audit)
+        history = self.table("dq_audit")
+        history.append(audit) if keep_audits else history.overwrite(audit)
         drop_work(self.spark, staged)
         return added
 

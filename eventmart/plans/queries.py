@@ -28,6 +28,7 @@ from eventmart.plans import fixtures as X
 from eventmart.plans import oracle as O
 from eventmart.session import configure, durable, work_path
 from eventmart.sources.events import (
+    CORRUPT,
     read_events,
     read_shards,
     slim_events,
@@ -36,7 +37,7 @@ from eventmart.sources.events import (
 )
 from eventmart.sources.snapshots import Table, mirror
 from eventmart.streaming import activity as streaming
-from eventmart.streaming.ingest import event_stream, ingest
+from eventmart.streaming.ingest import event_stream, ingest, reject
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,6 +147,24 @@ def valid_events(spark, d):
     )
 
 
+@query(
+    "rejected_events",
+    f"""SELECT reason, event_id AS id, type, created_at FROM (
+            SELECT *, CASE WHEN actor_id IS NULL THEN 'missing_actor'
+                           WHEN repo_id IS NULL THEN 'missing_repo'
+                           WHEN created_at < TIMESTAMP '1996-01-01' THEN 'too_early'
+                           WHEN created_at > TIMESTAMP '2000-06-30' THEN 'in_future' END AS reason
+            FROM ({_BROKEN})) WHERE reason IS NOT NULL""",
+)
+def rejected_events(spark, d):
+    """Quarantined rows of an envelope with invalid events, and why each was rejected."""
+    raw = _broken(spark, d).withColumns(
+        {name: F.lit(None).cast("string") for name in (CORRUPT, "source_file")}
+    )
+    rejected = reject(raw, "1996-01-01", "2000-06-30")
+    return rejected.select("reason", "id", "type", "created_at")
+
+
 @query("flatten_envelope", f"SELECT {_FLAT_COLUMNS} FROM ({_BROKEN})")
 def flatten_envelope(spark, d):
     return conform.flatten(_broken(spark, d)).drop("payload", "source_file")

@@ -212,18 +212,14 @@ def test_hourly_stream_equals_batch(spark, tmp_path):
 
 
 CHECKED = (
-    "dedup_events",
     "silver_pr",
     "dq_audit",
     "top_repos",
-    "merge_upsert",
     "repo_activity",
     "language_yearly",
     "vw_bus_factor",
-    "vw_repo_health",
     "vw_contributor_dynamics",
     "features_all",
-    "cluster_labels",
     "language_trend",
 )
 

@@ -102,7 +102,8 @@ def test_trend_leaves_out_constant_and_short_series(spark):
     "step, label",
     [
         (0.51, "Strongly Growing"),
-        (0.49, "Growing"),
+        (0.5, "Growing"),
+        (0.1, "Stable"),
         (0.05, "Stable"),
         (-0.05, "Stable"),
         (-0.3, "Declining"),
