@@ -21,6 +21,10 @@ RUNTIME_CONF = {
     # aggregate above the join one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+}
+
+# Settings that a session can only be created with.
+START_CONF = {
     # no Python stack capture per column expression while plans are built
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -39,7 +43,7 @@ def build_session(app: str = "eventmart", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

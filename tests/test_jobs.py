@@ -297,6 +297,12 @@ def test_scans_read_only_the_columns_and_rows_they_need(spark):
     assert "o_orderpriority" not in plan and "o_custkey" not in plan
 
 
+def test_runtime_settings_can_be_set_on_a_live_session(spark):
+    from eventmart.session import RUNTIME_CONF
+
+    assert all(spark.conf.isModifiable(key) for key in RUNTIME_CONF)
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as entry
 
