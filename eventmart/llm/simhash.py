@@ -27,6 +27,8 @@ from eventmart.session import durable
 RADIUS = 4
 CROWD = 64
 CHUNK = 1 << 16  # shingles hashed at a time
+TASK = 8192  # fingerprints whose variants one task makes
+FILTER_BITS = 24  # size of the bitmap of busy variants: a fixed 2**18 words
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -92,6 +94,16 @@ def _close(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= RADIUS
 
 
+def _maybe_in(variants: DataFrame, busy: DataFrame) -> DataFrame:
+    """The variants without most of those that are not busy: a bitmap of hashes, of fixed size, is broadcast."""
+    spot = F.pmod(F.xxhash64("key"), F.lit(1 << FILTER_BITS))
+    word, bit = F.shiftright(spot, 6).alias("word"), spot.bitwiseAND(F.lit(63)).cast("int").alias("bit")
+    one = F.expr("shiftleft(1L, bit)")
+    bitmap = busy.select(word, bit).groupBy("word").agg(F.bit_or(one).alias("bits"))
+    marked = variants.select("*", word, bit).join(F.broadcast(bitmap), "word")
+    return marked.where(F.col("bits").bitwiseAND(one) != 0).select("fp", "key")
+
+
 def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (fp long) whose components are those of all links.
 
@@ -99,11 +111,12 @@ def links(prints: DataFrame) -> DataFrame:
     connected through edges.
     """
     prints = durable(prints.select("fp").distinct(), "fingerprints")
+    prints = prints.repartition(max(1, prints.count() // TASK))  # a few MB of numbers make many rows
     met = _variants(prints).groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n"))
     met = durable(met.where("n > 1"), "meetings")
     pairs = met.where("n = 2").where(_close("a", "b")).select("a", "b")
     busy = met.where("n > 2").select("key", "n")
-    members = durable(_variants(prints).join(busy, "key"), "members")
+    members = durable(_maybe_in(_variants(prints), busy).join(busy, "key"), "members")
     few = members.where(F.col("n") <= CROWD).select("key", "fp")
     some = (
         few.select("key", F.col("fp").alias("a"))
