@@ -75,7 +75,7 @@ CUES = "licen[cs]|copyright|permission|permitted|redistribut|free software|publi
 LEVEL = 9
 RANKED = 4  # templates that are compared word by word
 DIFFERENT = 0.1  # wording differences allowed, as a share of the template's words
-MIN_GAIN = 0.5  # share of the template's compressed size that a block must lose
+MIN_GAIN = 0.1  # least share of the template's compressed size that a block must lose; the wording decides
 
 _CUE = re.compile(CUES, re.IGNORECASE)
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
@@ -111,8 +111,9 @@ def _templates() -> tuple[Template, ...]:
 def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
     """(start, end) of the stretches around license words, in a bounded number of words.
 
-    Neighbouring lines with a cue, or one line apart, form a stretch. A stretch longer than two of the longest
-    templates is read in overlapping blocks, so that each template fits into one.
+    Lines with a cue, at most four lines apart, form a stretch with two lines before and after. A
+    stretch longer than two of the longest templates is read in overlapping blocks, so that each
+    template fits into one.
     """
     lines, at = [], 0
     for line in text.split("\n"):
@@ -124,9 +125,9 @@ def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
     i = 0
     while i < len(marked):
         j = i
-        while j + 1 < len(marked) and marked[j + 1] <= marked[j] + 2:
+        while j + 1 < len(marked) and marked[j + 1] <= marked[j] + 5:
             j += 1
-        start, end = lines[marked[i]][0], lines[marked[j]][1]
+        start, end = lines[max(0, marked[i] - 2)][0], lines[min(len(lines) - 1, marked[j] + 2)][1]
         places = [m.span() for m in _WORD.finditer(text, start, end)]
         if len(places) <= 2 * longest:
             yield start, end

@@ -114,6 +114,9 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
     """Texts without the given non-blank lines; a blank line shares the fate of the line above."""
     out = []
     for text, numbers in zip(texts, gone, strict=True):
+        if text is None:
+            out.append(None)
+            continue
         dropped, kept, seq, keep = set(numbers.tolist()), [], -1, True
         for line in text.split("\n"):
             if line.encode("utf-8", "surrogatepass").strip(_SPACE):
@@ -149,12 +152,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     gone = gone.groupBy(number).agg(F.collect_list("seq").alias("_gone")).join(numbered, number).drop(number)
     counts = split.groupBy(row).agg(F.count("*").alias("n_lines"))
     notes = durable(counts.join(gone, row, "left"), "notes")
-    joined = rows.join(notes, row, "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0).cast("long")))
-    columns = [col(c) for c in docs.columns]
-    same = joined.where(F.col("_gone").isNull()).select(*columns, "n_lines", F.lit(0).cast("long").alias("n_removed"))
-    cut = joined.where(F.col("_gone").isNotNull()).select(
-        *[F.pandas_udf(_without, "string")(col(c), F.col("_gone")).alias(c) if c.lower() == text.lower() else col(c) for c in docs.columns],
-        "n_lines",
-        F.size("_gone").cast("long").alias("n_removed"),
+    joined = rows.join(notes, row, "left")
+    touched = F.col("_gone").isNotNull()
+    # only the texts that change go through Python
+    shorter = F.pandas_udf(_without, "string")(F.when(touched, col(text)), F.col("_gone"))
+    cut = F.when(touched, shorter).otherwise(col(text))
+    return joined.select(
+        *[cut.alias(c) if c.lower() == text.lower() else col(c) for c in docs.columns],
+        F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+        F.when(touched, F.size("_gone")).otherwise(0).cast("long").alias("n_removed"),
     )
-    return same.union(cut)

@@ -182,6 +182,10 @@ def _listed(spans: Column) -> Column:
     return F.array_join(one, ",")
 
 
+def _number_of(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: key, base, spans (arrays of kind number, start, end), counts and digests.
 
@@ -191,7 +195,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     rows, _, base, _ = _found(docs.select(col(key).alias("key"), col(text).alias("text")), "text")
     base = F.col(base)
     everything = F.array_sort(F.concat(base, F.coalesce("_added", F.array().cast(f"array<struct<{_SPAN}>>"))))
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [_number_of(base, k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select(
         F.col("key").alias(key), *counts, F.sha2(_listed(base), 256).alias("base_sha256"), everything.alias("spans"), _listed(everything).alias("spans_text")
     )
@@ -200,6 +204,9 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def _masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
     for text, own in zip(texts, spans, strict=True):
+        if text is None:
+            out.append(None)
+            continue
         parts, at = [], 0
         for start, end, kind in sorted((s["start"], s["end"], s["kind"]) for s in own):
             if start >= at:
@@ -216,9 +223,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     rows, _, base, _ = _found(docs, text)
     spans = F.concat(F.col(base), F.coalesce("_added", F.array().cast(f"array<struct<{_SPAN}>>")))
-    columns = [col(c) for c in docs.columns]
-    clean = rows.where(F.size(spans) == 0).select(*columns)
-    marked = rows.where(F.size(spans) > 0).select(
-        *[F.pandas_udf(_masked, "string")(col(c), spans).alias(c) if c.lower() == text.lower() else col(c) for c in docs.columns]
-    )
-    return clean.union(marked)
+    touched = F.size(spans) > 0
+    # only the texts that change go through Python
+    masked = F.pandas_udf(_masked, "string")(F.when(touched, col(text)), spans)
+    new = F.when(touched, masked).otherwise(col(text))
+    return rows.select(*[new.alias(c) if c.lower() == text.lower() else col(c) for c in docs.columns])
