@@ -17,7 +17,6 @@ COVID_YEARS = (2019, 2020, 2021)
 # ---- fixed values: defaults -------------------------------------------------------------
 UNKNOWN_LANGUAGE = "Unknown"
 EARLIEST_EVENT = "2008-01-01"
-TOP_REPO_CAP = 4000
 
 # ---- fixed values: thresholds, first match wins -----------------------------------------
 PR_SIZES = ((10, "XS"), (50, "S"), (250, "M"), (1000, "L"))

@@ -26,8 +26,14 @@ def of_types(events: DataFrame, types: Sequence[str] = S.EVENT_TYPES) -> DataFra
     return events.filter(F.col("type").isin(list(types)))
 
 
-def _upper_bound(as_of: str | None) -> Column:
-    return F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+def not_in_future(as_of: str | None) -> Column:
+    """Up to now, a point in time, or the end of a day if `as_of` is a date."""
+    if not as_of:
+        return F.col("created_at") <= F.current_timestamp()
+    bound = F.lit(as_of).cast("timestamp")
+    if len(as_of) > len("2000-01-01"):
+        return F.col("created_at") <= bound
+    return F.col("created_at") < bound + F.expr("INTERVAL 1 DAY")
 
 
 def valid_events(
@@ -36,11 +42,13 @@ def valid_events(
     as_of: str | None = None,
     types: Sequence[str] = S.EVENT_TYPES,
 ) -> DataFrame:
-    """Known type, actor and repo present, timestamp between `earliest` and `as_of` (now)."""
+    """Known type; id, actor and repo present; timestamp between `earliest` and `as_of` (now)."""
     return of_types(events, types).filter(
-        F.col("actor.id").isNotNull()
+        F.col("id").isNotNull()
+        & F.col("actor.id").isNotNull()
         & F.col("repo.id").isNotNull()
-        & F.col("created_at").between(F.lit(earliest).cast("timestamp"), _upper_bound(as_of))
+        & (F.col("created_at") >= F.lit(earliest).cast("timestamp"))
+        & not_in_future(as_of)
     )
 
 

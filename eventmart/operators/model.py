@@ -173,12 +173,19 @@ def test_predictions(predictions: DataFrame, version: str, trained_at: str) -> D
 
 
 def feature_importance(model: PipelineModel, like: DataFrame, version: str) -> DataFrame:
-    """Importance of the named vector slots; one-hot slots are left out.
+    """Importance of every model input; the one-hot slots of a category are summed.
 
-    The vector of importances has one entry per model input, so it is small by nature.
+    The names come from the attributes of the assembled vector of `like`. There is one row
+    per input column, so the result is small by nature.
     """
-    weights = model.stages[-1].featureImportances.toArray()[: len(VECTOR_NAMES)]
-    rows = [(n, float(w), version) for n, w in zip(VECTOR_NAMES, weights, strict=True)]
+    attributes = model.transform(like).schema["features_raw"].metadata["ml_attr"]["attrs"]
+    slots = sorted((a["idx"], a["name"]) for kind in attributes.values() for a in kind)
+    weights = model.stages[-1].featureImportances.toArray()
+    totals = {name: 0.0 for name in (*VECTOR_NAMES, *V.CATEGORY_FEATURES)}
+    for (_, slot), weight in zip(slots, weights, strict=True):
+        owner = next((c for c in V.CATEGORY_FEATURES if slot.startswith(f"{c}_onehot")), slot)
+        totals[owner] += float(weight)
+    rows = [(name, weight, version) for name, weight in totals.items()]
     return like.sparkSession.createDataFrame(
         rows, "feature_name string, importance double, model_version string"
     ).orderBy(F.desc("importance"))

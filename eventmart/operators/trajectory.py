@@ -61,8 +61,8 @@ def with_growth(vectors: DataFrame, years: Sequence[int], early_to: int) -> Data
 def cluster_labels(clustered: DataFrame, names: Sequence[str] = V.CLUSTER_LABELS) -> DataFrame:
     """Name the clusters by rank of mean growth, fastest first.
 
-    The ranking window sees one row per cluster. At most len(names) clusters get a name,
-    so the lookup that is broadcast has that many rows.
+    The ranking window sees one row per cluster. Clusters beyond the last name share it, with
+    a number: "name 2", "name 3". The lookup that is broadcast has one row per cluster.
     """
     mean = mean_fixed(F.col("growth_ratio"))
     order = Window.orderBy(F.desc("mean_growth_ratio"), "cluster_id")
@@ -70,10 +70,12 @@ def cluster_labels(clustered: DataFrame, names: Sequence[str] = V.CLUSTER_LABELS
         clustered.groupBy("cluster_id")
         .agg(mean.alias("mean_growth_ratio"))
         .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= len(names))
         .select(
             "cluster_id",
-            F.element_at(F.array(*map(F.lit, names)), F.col("rank")).alias("trajectory_label"),
+            F.coalesce(
+                F.get(F.array(*map(F.lit, names)), F.col("rank") - 1),
+                F.concat_ws(" ", F.lit(names[-1]), F.col("rank") - len(names) + 1),
+            ).alias("trajectory_label"),
         )
     )
     return clustered.join(F.broadcast(named), "cluster_id", "left")
@@ -100,10 +102,10 @@ def cluster(
     max_iter: int = 50,
     seed: int = 42,
     min_repos: int = 4,
-) -> DataFrame | None:
+) -> DataFrame:
     """K-Means on min-max scaled vectors with k chosen by silhouette.
 
-    Returns the vectors with a cluster_id, or None for fewer than `min_repos` rows. The
+    Returns the vectors with a cluster_id, or no rows for fewer than `min_repos` vectors. The
     vectors are written out, so neither the fits nor a lost executor go back to the event
     data; the scaled form is cached for the candidate fits. The best fit is used as it is
     instead of being fitted again.
@@ -121,7 +123,7 @@ def cluster(
     vectors = durable(vectors)
     rows = vectors.count()
     if rows < min_repos:
-        return None
+        return vectors.withColumn("cluster_id", F.lit(0)).limit(0)
     scaled = (
         prepare.fit(vectors)
         .transform(vectors)

@@ -39,7 +39,7 @@ def language_trend(
     fit = (
         yearly.groupBy("language_key")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count(y).alias("n"),
             (F.min(y) < F.max(y)).alias("varies"),
             _settled(F.regr_slope(y, x)).alias("slope"),
             F.regr_intercept(y, x).alias("level"),

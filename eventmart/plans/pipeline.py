@@ -110,9 +110,15 @@ class Mart:
 
     # ---- enrichment -----------------------------------------------------------------------
 
-    def worklist(self, year: int, percent: float, shards: int = 1) -> DataFrame:
-        """Busiest repositories of a year that have no metadata yet, dealt to shards."""
-        top = enrich.top_repos(self._all_events(), year, percent)
+    def worklist(
+        self,
+        year: int | None,
+        percent: float | None,
+        shards: int = 1,
+        top_n: int | None = None,
+    ) -> DataFrame:
+        """Busiest repositories of a year (None: all) without metadata yet, dealt to shards."""
+        top = enrich.top_repos(self._all_events(), year, percent, top_n)
         known = self.table("repositories").read_or_empty(S.REPOSITORIES)
         return enrich.shard_worklist(enrich.repos_to_fetch(top, known), shards)
 
@@ -171,18 +177,15 @@ class Mart:
             "fact_release_events": facts.fact_release(keyed(S.RELEASE), unique=True),
         }
         for name, fact in build.items():
-            if name == "fact_release_events" and self.silver(S.RELEASE).isEmpty():
-                continue
             self.table(name).overwrite(fact, partition="year")
         # the aggregates read the stored facts back: nothing is keyed twice
-        releases = self.table("fact_release_events")
         stream = facts.stream_from_facts(
             self.read("fact_push_events"),
             self.read("fact_pr_events"),
             self.read("fact_issues_events"),
             keyed(S.WATCH),
             keyed(S.FORK),
-            releases.read() if releases.exists() else keyed(S.RELEASE),
+            self.read("fact_release_events"),
         )
         self.table("fact_repo_activity_daily").overwrite(
             activity.repo_activity(stream), partition="year"
@@ -244,6 +247,7 @@ class Mart:
             "model_type": "abandonment_risk",
             "run_id": run_id,
             "trained_at": trained_at,
+            "boundary": boundary,
         }
         metadata = {
             **pointer,
@@ -257,17 +261,25 @@ class Mart:
             "train_rows": train_rows.count(),
             "test_rows": test_rows.count(),
         }
-        self.table("ml_test_predictions").append(
-            model.test_predictions(result.predictions, version, trained_at)
-        )
-        self.table("ml_feature_importance").append(
-            model.feature_importance(result.model, rows, version)
-        )
-        self.table("ml_model_metadata").append(self.spark.createDataFrame([metadata]))
+        recorded = {
+            "ml_test_predictions": model.test_predictions(result.predictions, version, trained_at),
+            "ml_feature_importance": model.feature_importance(result.model, rows, version),
+            "ml_model_metadata": self.spark.createDataFrame([metadata]),
+        }
+        for name, found in recorded.items():
+            self._record(name, found, version)
         # last, so that the pointer never names a half-recorded model
         self.table("ml_model_current").overwrite(self.spark.createDataFrame([pointer]))
         return metadata
 
+    def _record(self, name: str, rows: DataFrame, version: str) -> None:
+        """Results of one model version; training it again replaces them."""
+        table = self.table(name)
+        if table.exists():
+            others = table.read().filter(F.col("model_version") != version)
+            rows = others.unionByName(rows, allowMissingColumns=True)
+        table.overwrite(rows)
+
     def score(self) -> int:
         """Score all repositories with the current model; 0 if there is none to load."""
         current = self.table("ml_model_current")
@@ -289,7 +301,7 @@ class Mart:
             "repo_age_days",
             "repo_created_date",
         )
-        ready = durable(self._features(dated, self.year - 4))
+        ready = durable(self._features(dated, pointer["boundary"]))
         scored = model.score(
             PipelineModel.load(pointer["model_path"]),
             ready,
@@ -302,11 +314,9 @@ class Mart:
         )
 
     def trajectories(self, years: Sequence[int], early_to: int) -> int:
-        """Cluster the yearly commit vectors; 0 if there are too few repositories."""
+        """Cluster the yearly commit vectors; an empty table if there are too few repositories."""
         vectors = trajectory.yearly_vectors(self.read("fact_repo_activity_daily"), years)
         clustered = trajectory.cluster(vectors, years)
-        if clustered is None:
-            return 0
         labelled = trajectory.cluster_labels(trajectory.with_growth(clustered, years, early_to))
         return self.table("ml_repo_trajectories").overwrite(
             trajectory.trajectory_table(labelled, self.as_of)

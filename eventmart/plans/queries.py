@@ -109,7 +109,8 @@ def event_type_filter(spark, d):
 
 # A line without actor, repository or with a date out of range is made by nulling columns.
 _BROKEN = """
-    SELECT event_id, type, created_at, year,
+    SELECT CASE WHEN l_linenumber <> 6 OR actor_id % 5 <> 1 THEN event_id END AS event_id,
+           type, created_at, year,
            CASE WHEN l_linenumber <> 2 OR actor_id % 5 <> 0 THEN actor_id END AS actor_id,
            actor_login,
            CASE WHEN l_linenumber <> 4 OR repo_id % 7 <> 0 THEN repo_id END AS repo_id,
@@ -117,12 +118,13 @@ _BROKEN = """
 
 
 def _broken(spark, d) -> DataFrame:
-    """Envelope in which some events lack their actor or repository."""
+    """Envelope in which some events lack their id, actor or repository."""
     events = X.all_events(spark, d)
     line = F.col("l_linenumber")
     return X.envelope(
         events.withColumns(
             {
+                "event_id": F.when((line != 6) | (F.col("actor_id") % 5 != 1), F.col("event_id")),
                 "actor_id": F.when((line != 2) | (F.col("actor_id") % 5 != 0), F.col("actor_id")),
                 "repo_id": F.when((line != 4) | (F.col("repo_id") % 7 != 0), F.col("repo_id")),
             }
@@ -133,8 +135,8 @@ def _broken(spark, d) -> DataFrame:
 @query(
     "valid_events",
     f"""SELECT event_id AS id, type, created_at, actor_id, repo_id FROM ({_BROKEN})
-        WHERE actor_id IS NOT NULL AND repo_id IS NOT NULL
-          AND created_at BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-06-30'""",
+        WHERE event_id IS NOT NULL AND actor_id IS NOT NULL AND repo_id IS NOT NULL
+          AND created_at >= TIMESTAMP '1996-01-01' AND created_at < TIMESTAMP '2000-07-01'""",
 )
 def valid_events(spark, d):
     valid = conform.valid_events(_broken(spark, d), "1996-01-01", "2000-06-30")
@@ -150,10 +152,11 @@ def valid_events(spark, d):
 @query(
     "rejected_events",
     f"""SELECT reason, event_id AS id, type, created_at FROM (
-            SELECT *, CASE WHEN actor_id IS NULL THEN 'missing_actor'
+            SELECT *, CASE WHEN event_id IS NULL THEN 'missing_id'
+                           WHEN actor_id IS NULL THEN 'missing_actor'
                            WHEN repo_id IS NULL THEN 'missing_repo'
                            WHEN created_at < TIMESTAMP '1996-01-01' THEN 'too_early'
-                           WHEN created_at > TIMESTAMP '2000-06-30' THEN 'in_future' END AS reason
+                           WHEN created_at >= TIMESTAMP '2000-07-01' THEN 'in_future' END AS reason
             FROM ({_BROKEN})) WHERE reason IS NOT NULL""",
 )
 def rejected_events(spark, d):
@@ -330,8 +333,8 @@ _NAMES = """SELECT repo_id, arg_max(repo_name, (created_at, repo_name)) AS repo_
 _TOP = f"""
     SELECT row_number() OVER (ORDER BY c.n DESC, c.repo_id) AS rank, c.repo_id, m.repo_name, c.n
     FROM ({_COUNTS}) c JOIN ({_NAMES.format('WHERE year = 1998')}) m USING (repo_id)
-    QUALIFY rank <= greatest(1, least(
-        CAST(floor((SELECT COUNT(*) FROM ({_COUNTS})) * 40 / 100.0) AS BIGINT), 4000))"""
+    QUALIFY rank <= greatest(1,
+        CAST(floor((SELECT COUNT(*) FROM ({_COUNTS})) * 40 / 100.0) AS BIGINT))"""
 
 
 @query("repo_event_counts", _COUNTS)
@@ -353,6 +356,17 @@ def top_repos(spark, d):
     return _top(spark, d)
 
 
+@query(
+    "top_repos_all",
+    f"""SELECT row_number() OVER (ORDER BY c.n DESC, c.repo_id) AS rank, c.repo_id, m.repo_name, c.n
+        FROM (SELECT repo_id, COUNT(event_id) AS n FROM conf GROUP BY 1) c
+        JOIN ({_NAMES.format('')}) m USING (repo_id) QUALIFY rank <= 100""",
+)
+def top_repos_all(spark, d):
+    """The hundred busiest repositories over all years."""
+    return enrich.top_repos(X.conformed(spark, d), top_n=100)
+
+
 @query("repos_to_fetch", f"SELECT * FROM ({_TOP}) WHERE repo_id NOT IN (SELECT repo_id FROM repos)")
 def repos_to_fetch(spark, d):
     return enrich.repos_to_fetch(_top(spark, d), X.repositories(spark, d))

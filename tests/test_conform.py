@@ -73,6 +73,8 @@ def test_reasons_for_rejection(spark, files):
         event("5", at="2007-01-01T00:00:00Z"),
         event("6", at="2999-01-01T00:00:00Z"),
         {**event("7"), "created_at": None},
+        event("8", at="2021-01-01T23:00:00Z"),
+        event(None),
         "not json",
     )
     raw = read_events(spark, path, keep_corrupt=True).cache()
@@ -85,8 +87,11 @@ def test_reasons_for_rejection(spark, files):
         "5": "too_early",
         "6": "in_future",
         "7": "missing_timestamp",
+        "8": None,  # on the day itself
     }
-    assert [r.why for r in got if r.id is None] == ["malformed"]
+    assert sorted(r.why for r in got if r.id is None) == ["malformed", "missing_id"]
+    kept = conform.valid_events(raw, as_of="2021-01-01").select("id").collect()
+    assert sorted(r.id for r in kept) == ["1", "8"]
 
 
 def test_dedup_keeps_one_row_whatever_the_order(spark, rows):

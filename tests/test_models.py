@@ -150,7 +150,16 @@ def test_clusters_found_and_too_few_repositories(spark, rows):
     for r in got.collect():
         groups.setdefault(r.cluster_id, set()).add(r.repo_key)
     assert sorted(map(sorted, groups.values())) == [list(range(10)), list(range(10, 20))]
-    assert trajectory.cluster(rows(schema, *low[:3]), years) is None
+    few = trajectory.cluster(rows(schema, *low[:3]), years)
+    assert few.isEmpty() and few.dtypes == got.dtypes
+
+
+def test_every_cluster_gets_a_name(spark, rows):
+    schema = "repo_key bigint, cluster_id int, growth_ratio double"
+    named = trajectory.cluster_labels(rows(schema, *[(k, k, float(9 - k)) for k in range(9)]))
+    labels = [r.trajectory_label for r in named.orderBy("cluster_id").collect()]
+    assert None not in labels and len(set(labels)) == 9
+    assert labels[6:] == [f"{labels[5]} {n}" for n in (2, 3, 4)]
 
 
 def brute_features(values, born, bots, pushes):
