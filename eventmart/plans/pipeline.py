@@ -30,7 +30,7 @@ from eventmart.operators import (
     trends,
     views,
 )
-from eventmart.session import configure, drop_work, durable, path_exists, work_path
+from eventmart.session import configure, drop_work, path_exists, staged, work_path
 from eventmart.sources.events import read_events, read_metadata, read_shards, stage_by_type
 from eventmart.sources.snapshots import Table
 from eventmart.streaming.ingest import merge_batch
@@ -143,11 +143,11 @@ class Mart:
         period: tuple[str, str, str] = V.COVID_PERIOD,
         topic_pattern: str = V.AI_TOPIC_PATTERN,
     ) -> None:
-        """Dimensions, facts and aggregates as the next version of each table.
+        """Dimensions, facts and aggregates, each table replaced.
 
         Everything is derived from the whole of the conformed tables, because newly
-        enriched repositories change the keys of old events too. Publishing that as a new
-        version equals merging it into the old one, without having to join with it.
+        enriched repositories change the keys of old events too. Replacing a table equals
+        merging into the old one, without having to join with it.
         """
         repositories = self.table("repositories").read_or_empty(S.REPOSITORIES)
         contributors = self.table("contributors").read_or_empty(S.CONTRIBUTORS)
@@ -277,8 +277,10 @@ class Mart:
         table = self.table(name)
         if table.exists():
             others = table.read().filter(F.col("model_version") != version)
-            rows = others.unionByName(rows, allowMissingColumns=True)
-        table.overwrite(rows)
+            with staged(others.unionByName(rows, allowMissingColumns=True), name) as kept:
+                table.overwrite(kept)
+        else:
+            table.overwrite(rows)
 
     def score(self) -> int:
         """Score all repositories with the current model; 0 if there is none to load."""
@@ -301,17 +303,17 @@ class Mart:
             "repo_age_days",
             "repo_created_date",
         )
-        ready = durable(self._features(dated, pointer["boundary"]))
-        scored = model.score(
-            PipelineModel.load(pointer["model_path"]),
-            ready,
-            repositories,
-            pointer["model_version"],
-            self.as_of,
-        )
-        return self.table("ml_abandonment_risk").upsert(
-            scored, ["repo_key", "model_version"], partition="created_year"
-        )
+        with staged(self._features(dated, pointer["boundary"]), "features") as ready:
+            scored = model.score(
+                PipelineModel.load(pointer["model_path"]),
+                ready,
+                repositories,
+                pointer["model_version"],
+                self.as_of,
+            )
+            return self.table("ml_abandonment_risk").upsert(
+                scored, ["repo_key", "model_version"], partition="created_year"
+            )
 
     def trajectories(self, years: Sequence[int], early_to: int) -> int:
         """Cluster the yearly commit vectors; an empty table if there are too few repositories."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,3 +97,14 @@ def durable(frame: DataFrame, name: str = "frame") -> DataFrame:
     path = work_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def staged(frame: DataFrame, name: str = "staged") -> Iterator[DataFrame]:
+    """A durable copy that is dropped at the end of the block."""
+    path = work_path(frame.sparkSession, name)
+    try:
+        frame.write.parquet(path)
+        yield frame.sparkSession.read.schema(frame.schema).parquet(path)
+    finally:
+        drop_work(frame.sparkSession, path)
