@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart import schemas as S
@@ -1116,13 +1116,22 @@ def table_upsert(spark, d):
     return table.read()
 
 
-@query("mirror_audit")
+@query("mirror_audit", "SELECT *, true AS has_run_id, true AS has_load_time FROM dcontrib")
 def mirror_audit(spark, d):
-    """A stored dimension mirrored with run id and load time; the missing table is skipped."""
+    """A stored dimension mirrored with run id and load time; the missing table is skipped.
+
+    Both differ from run to run, so whether they are right is compared instead.
+    """
     root, copies = work_path(spark, "tables"), work_path(spark, "mirror")
     Table(spark, root, "dim_contributor").overwrite(X.dim_contributor(spark, d))
     done = mirror(spark, root, copies, ["dim_contributor", "dim_language"])
-    return spark.read.parquet(*(f"{copies}/{name}" for name in done))
+    copied = spark.read.parquet(*(f"{copies}/{name}" for name in done))
+    return copied.withColumns(
+        {
+            "has_run_id": F.col("_pipeline_run_id").eqNullSafe(F.lit(done["dim_contributor"])),
+            "has_load_time": F.col("_loaded_at").isNotNull(),
+        }
+    ).drop("_pipeline_run_id", "_loaded_at")
 
 
 @query("stream_ingest", _ROUTED)
@@ -1207,7 +1216,7 @@ def stream_activity(spark, d):
     return Table(spark, root, "hourly").read()
 
 
-# ---- fitted models (not expressible in SQL) ----------------------------------------------------
+# ---- fitted models: what does not depend on the fit is compared, and that the rest fits to it ---
 
 
 def _model_rows(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -1221,30 +1230,107 @@ def _trained(spark, d, trees=(20,), depths=(5,)) -> model.Training:
     return model.train(*_model_rows(spark, d), trees=trees, depths=depths, folds=2)
 
 
-@query("model_training")
+@query(
+    "model_training",
+    """SELECT repo_key, '200112' AS model_version, label, '2001-12-31' AS trained_at,
+              true AS in_range, true AS prediction_fits, true AS outcome_fits
+       FROM labelled WHERE created_year > 1997 AND created_year <= 1999""",
+)
 def model_training(spark, d):
     """Outcomes of the test rows under the forest chosen by cross-validation."""
     result = _trained(spark, d, trees=(10, 20))
-    return model.test_predictions(result.predictions, "200112", X.AS_OF)
+    found = model.test_predictions(result.predictions, "200112", X.AS_OF)
+    p, guess = F.col("abandonment_probability"), F.col("predicted_label")
+    kind = F.concat_ws(
+        " ",
+        F.when(guess == F.col("label"), "True").otherwise("False"),
+        F.when(guess == 1, "Positive").otherwise("Negative"),
+    )
+    return found.select(
+        "repo_key",
+        "model_version",
+        "label",
+        "trained_at",
+        p.between(0, 1).alias("in_range"),
+        # rounding moves a probability onto a threshold, never across it
+        F.when(guess == 1, p >= 0.5).otherwise(p <= 0.5).alias("prediction_fits"),
+        (F.col("outcome") == kind).alias("outcome_fits"),
+    )
+
 
+_INPUTS = (*model.VECTOR_NAMES, *V.CATEGORY_FEATURES)
 
-@query("feature_importance")
+
+@query(
+    "feature_importance",
+    f"""SELECT unnest({list(_INPUTS)}) AS feature_name, '200112' AS model_version,
+               true AS in_range, 1.0::DOUBLE AS total WHERE EXISTS (SELECT 1 FROM labelled)""",
+)
 def feature_importance(spark, d):
+    """Every input of the model once; the importances are shares of one."""
     train_rows, test_rows = _model_rows(spark, d)
     fitted = model.train(train_rows, test_rows, trees=(20,), depths=(5,))
-    return model.feature_importance(fitted.model, train_rows, "200112")
+    found = model.feature_importance(fitted.model, train_rows, "200112")
+    total = F.round(F.sum("importance").over(Window.partitionBy("model_version")), 9)
+    return found.select(
+        "feature_name",
+        "model_version",
+        F.col("importance").between(0, 1).alias("in_range"),
+        total.alias("total"),
+    )
 
 
-@query("score_repos")
+@query(
+    "score_repos",
+    """SELECT b.repo_key, '200112' AS model_version, created_year,
+              TIMESTAMP '2001-12-31 00:00:00' AS scored_at, is_archived,
+              CASE WHEN commit_momentum >= 1.5 THEN 'Accelerating'
+                   WHEN commit_momentum >= 0.5 THEN 'Stable'
+                   WHEN commit_momentum >= 0.1 THEN 'Declining' ELSE 'Stalled' END
+                  AS trajectory_label,
+              true AS in_range, true AS tier_fits
+       FROM born b LEFT JOIN featera m ON b.repo_key = m.repo_key
+       WHERE repo_age_days IS NOT NULL""",
+)
 def score_repos(spark, d):
+    """Every repository with an age, scored; the tier has to fit its probability and age."""
     fitted = _trained(spark, d)
     ready = durable(_features(spark, d, _born(spark, d), _activity(spark, d)))
-    return model.score(fitted.model, ready, X.dim_repository(spark, d), "200112", X.AS_OF)
+    repositories = X.dim_repository(spark, d)
+    scored = model.score(fitted.model, ready, repositories, "200112", X.AS_OF)
+    p, young = F.col("abandonment_probability"), F.col("repo_age_days") < V.MIN_AGE_DAYS
+    fits = (
+        F.when(F.col("risk_tier") == V.HIGH_RISK, p >= 0.7)
+        .when(F.col("risk_tier") == V.MODERATE_RISK, (p >= 0.4) & (p <= 0.7))
+        .when(F.col("risk_tier") == V.TOO_YOUNG, (p <= 0.4) & young)
+        .otherwise((F.col("risk_tier") == V.LOW_RISK) & (p <= 0.4) & ~young)
+    )
+    return scored.join(repositories.select("repo_key", "repo_age_days"), "repo_key").select(
+        "repo_key",
+        "model_version",
+        "created_year",
+        "scored_at",
+        "is_archived",
+        "trajectory_label",
+        p.between(0, 1).alias("in_range"),
+        fits.alias("tier_fits"),
+    )
 
 
-@query("trajectory_clusters")
+@query(
+    "trajectory_clusters",
+    f"""SELECT repo_key, {O.rnd('growth_ratio', 3)} AS growth_ratio,
+               {O.rnd('avg_commits_early', 1)} AS avg_commits_early,
+               {O.rnd('avg_commits_recent', 1)} AS avg_commits_recent,
+               years_observed, TIMESTAMP '2001-12-31 00:00:00' AS computed_at,
+               true AS cluster_fits
+        FROM growth""",
+)
 def trajectory_clusters(spark, d):
+    """Clustered repositories; each has one of at most six clusters, and that one its label."""
     vectors = trajectory.yearly_vectors(_activity(spark, d), X.YEARS)
     clustered = trajectory.cluster(vectors, X.YEARS, max_iter=20)
     grown = trajectory.with_growth(clustered, X.YEARS, X.EARLY_YEARS_TO)
-    return trajectory.trajectory_table(trajectory.cluster_labels(grown), X.AS_OF)
+    found = trajectory.trajectory_table(trajectory.cluster_labels(grown), X.AS_OF)
+    known = F.col("cluster_id").between(0, 5) & F.col("trajectory_label").isNotNull()
+    return found.withColumn("cluster_fits", known).drop("cluster_id", "trajectory_label")
