@@ -6,7 +6,9 @@ import argparse
 import json
 
 from eventmart.functions import vocab as V
-from eventmart.plans.pipeline import FULL, GOLD_TABLES, INCREMENTAL, Mart
+from eventmart.operators.conform import flatten
+from eventmart.operators.quality import event_profile
+from eventmart.plans.pipeline import FULL, GOLD_TABLES, INCREMENTAL, MODEL_TABLES, Mart
 from eventmart.session import build_session
 from eventmart.sources.events import read_events, slim_events, write_events
 from eventmart.sources.snapshots import mirror
@@ -26,26 +28,30 @@ def _arguments() -> argparse.Namespace:
 
     needed, number = {"required": True}, {"type": int}
     job("slim", input=needed, output=needed)
+    job("profile", input=needed, output=needed, pattern={})
     job(
         "silver",
         input=needed,
         mode={"choices": [FULL, INCREMENTAL], "default": INCREMENTAL},
         pattern={},
+        quarantine={},
     )
     job("drain", input=needed, checkpoint=needed, quarantine={}, pattern={})
     job(
         "worklist",
         output=needed,
-        year={**number, **needed},
-        percent={"type": float, "default": 40.0},
+        year=number,
+        percent={"type": float},
+        top_n=number,
         shards={**number, "default": 1},
     )
     job("metadata", input=needed)
     job("shards", input=needed, year=number)
     job("contributors")
-    job("gold")
+    job("gold", mode={"choices": [FULL, INCREMENTAL], "default": FULL})
     job("compact")
     job("mirror", output=needed)
+    job("views", output=needed)
     job("train", boundary={**number, "default": 2020})
     job("score")
     job(
@@ -67,14 +73,20 @@ def main() -> None:
         case "slim":
             write_events(slim_events(read_events(spark, args.input)), args.output)
         case "silver":
-            result = mart.build_silver(args.input, args.mode, args.pattern)
+            result = mart.build_silver(
+                args.input, args.mode, args.pattern, quarantine=args.quarantine
+            )
+        case "profile":
+            rows = event_profile(flatten(read_events(spark, args.input, args.pattern)))
+            rows.write.mode("overwrite").parquet(args.output)
         case "drain":
             stream = event_stream(spark, args.input, pattern=args.pattern)
             ingest(
                 stream, args.root, args.checkpoint, V.EARLIEST_EVENT, args.as_of, args.quarantine
             ).start().awaitTermination()
         case "worklist":
-            rows = mart.worklist(args.year, args.percent, args.shards)
+            percent = 40.0 if args.percent is None and args.top_n is None else args.percent
+            rows = mart.worklist(args.year, percent, args.shards, args.top_n)
             rows.write.mode("overwrite").partitionBy("shard").parquet(args.output)
         case "metadata":
             result = mart.load_metadata(args.input)
@@ -83,11 +95,13 @@ def main() -> None:
         case "contributors":
             result = mart.load_contributors()
         case "gold":
-            mart.build_gold()
+            result = mart.build_gold(mode=args.mode)
         case "compact":
             mart.compact()
         case "mirror":
-            result = mirror(spark, args.root, args.output, GOLD_TABLES)
+            result = mirror(spark, args.root, args.output, (*GOLD_TABLES, *MODEL_TABLES))
+        case "views":
+            result = mart.write_views(args.output)
         case "train":
             result = mart.train(args.boundary)
         case "score":

@@ -30,14 +30,17 @@ def hours_between(later: str, earlier: str) -> Column:
     return F.when(F.col(later) > F.col(earlier), F.round(seconds / 3600, 2))
 
 
+def hundredths(value: Column) -> Column:
+    return F.round(value * 100).cast("bigint")
+
+
 def mean_2dp(value: Column) -> Column:
     """Average of a measure that carries two decimals.
 
     Summing whole hundredths keeps the result independent of the order in which the
     shuffle delivers the rows; a double sum is not.
     """
-    hundredths = F.sum(F.round(value * 100).cast("bigint")).cast("double")
-    return hundredths / 100.0 / F.count(value)
+    return F.sum(hundredths(value)).cast("double") / 100.0 / F.count(value)
 
 
 def mean_int(value: Column) -> Column:

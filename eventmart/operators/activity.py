@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart import schemas as S
-from eventmart.functions.columns import flag_count, hour_key_date, mean_2dp
+from eventmart.functions.columns import flag_count, hour_key_date, hundredths, mean_2dp
 
 
 def _is(kind: str) -> Column:
@@ -55,30 +55,49 @@ def repo_activity(stream: DataFrame) -> DataFrame:
 
 
 def language_yearly_base(stream: DataFrame) -> DataFrame:
-    """Totals per language and year from all types but releases."""
+    """Totals per language and year from all types but releases.
+
+    First to one row per pushing (repository, contributor): the two distinct counts then
+    multiply those rows and not the events.
+    """
     push, pr, issue = _is(S.PUSH), _is(S.PULL_REQUEST), _is(S.ISSUES)
-    has_id = F.col("has_id")
-    return (
+    has_id, hours = F.col("has_id"), F.when(_is(S.PULL_REQUEST), F.col("hours"))
+    grain = (
         stream.filter(F.col("type") != S.RELEASE)
-        .groupBy("language_key", "year")
+        .groupBy(
+            "language_key",
+            "year",
+            F.when(push, F.col("repo_key")).alias("pushed_repo"),
+            F.when(push, F.col("contributor_key")).alias("pusher"),
+        )
         .agg(
             flag_count(push & has_id).alias("total_push_events"),
             _total(F.when(push, F.col("commit_count"))).alias("total_commits"),
             flag_count(pr & has_id).alias("total_pr_events"),
             flag_count(pr & F.col("is_merged")).alias("total_prs_merged"),
-            mean_2dp(F.when(pr, F.col("hours"))).alias("avg_pr_merge_hours"),
+            F.sum(hundredths(hours)).alias("hundredths"),
+            F.count(hours).alias("n_hours"),
             flag_count(issue & has_id).alias("total_issue_events"),
             flag_count(issue & (F.col("action") == "opened")).alias("total_issues_opened"),
             flag_count(issue & (F.col("action") == "closed")).alias("total_issues_closed"),
             flag_count(_is(S.WATCH) & has_id).alias("total_stars"),
             flag_count(_is(S.FORK) & has_id).alias("total_forks"),
-            F.count_distinct(F.when(push, F.col("repo_key"))).alias("unique_repos"),
-            F.count_distinct(F.when(push, F.col("contributor_key"))).alias(
-                "unique_contributors"
-            ),
         )
     )
 
+    def total(*names: str) -> list[Column]:
+        return [F.sum(name).alias(name) for name in names]
+
+    mean = F.sum("hundredths").cast("double") / 100.0 / F.sum("n_hours")
+    return grain.groupBy("language_key", "year").agg(
+        *total("total_push_events", "total_commits", "total_pr_events", "total_prs_merged"),
+        mean.alias("avg_pr_merge_hours"),
+        *total("total_issue_events", "total_issues_opened", "total_issues_closed"),
+        *total("total_stars", "total_forks"),
+        F.count_distinct("pushed_repo").alias("unique_repos"),
+        F.count_distinct("pusher").alias("unique_contributors"),
+    )
+
 
 def language_yearly(base: DataFrame) -> DataFrame:
     """Add growth over the previous observed year and the share of all pushes of the year.

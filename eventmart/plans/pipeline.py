@@ -5,9 +5,10 @@ Every job reads and writes named tables below one root. Jobs are safe to run aga
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import UTC, date, datetime
 
 from pyspark.ml import PipelineModel
@@ -31,9 +32,9 @@ from eventmart.operators import (
     views,
 )
 from eventmart.session import configure, drop_work, path_exists, staged, work_path
-from eventmart.sources.events import read_events, read_metadata, read_shards, stage_by_type
-from eventmart.sources.snapshots import Table
-from eventmart.streaming.ingest import merge_batch
+from eventmart.sources.events import CORRUPT, read_events, read_metadata, read_shards, stage_by_type
+from eventmart.sources.snapshots import Table, with_audit
+from eventmart.streaming.ingest import merge_batch, reject
 
 FULL, INCREMENTAL = "full_refresh", "incremental"
 GOLD_TABLES = (
@@ -48,6 +49,16 @@ GOLD_TABLES = (
     "fact_repo_activity_daily",
     "fact_language_yearly",
 )
+MODEL_TABLES = (
+    "ml_feature_importance",
+    "ml_model_metadata",
+    "ml_abandonment_risk",
+    "ml_repo_trajectories",
+    "ml_language_trend_forecasts",
+)
+# rows per event type and year that the star schema was last built from
+_BUILT = "gold_state"
+_BUILT_SCHEMA = "type string, year smallint, n bigint"
 
 
 class Mart:
@@ -76,14 +87,24 @@ class Mart:
         pattern: str | None = None,
         earliest: str = V.EARLIEST_EVENT,
         keep_audits: bool = False,
+        quarantine: str | None = None,
     ) -> dict[str, int]:
         """Raw files into the typed tables; a full refresh replaces them and audits.
 
         The audit replaces the one before it, unless `keep_audits` appends to a history.
+        Rows that are not conformed go to `quarantine` with the reason, one folder per input:
+        reading the same input again replaces its folder.
         """
-        raw = read_events(self.spark, paths, pattern)
+        raw = read_events(self.spark, paths, pattern, keep_corrupt=quarantine is not None)
+        if quarantine:
+            given = [paths] if isinstance(paths, str) else sorted(paths)
+            run = hashlib.sha256("\n".join([*given, pattern or ""]).encode()).hexdigest()[:16]
+            rejected = reject(raw, earliest, self.as_of)
+            rejected.write.mode("overwrite").parquet(posixpath.join(quarantine, f"run={run}"))
+            raw = raw.drop(CORRUPT)
         if mode == INCREMENTAL:
             return merge_batch(raw, self.root, earliest, self.as_of)
+        self._forget_built()
         staged = work_path(self.spark, "events")
         events = stage_by_type(conform.conform(raw, earliest, self.as_of), staged)
         added = {
@@ -142,72 +163,163 @@ class Mart:
         self,
         period: tuple[str, str, str] = V.COVID_PERIOD,
         topic_pattern: str = V.AI_TOPIC_PATTERN,
-    ) -> None:
-        """Dimensions, facts and aggregates, each table replaced.
+        mode: str = FULL,
+    ) -> list[int] | None:
+        """Dimensions, facts and aggregates; returns the years that were built, None for all.
 
-        Everything is derived from the whole of the conformed tables, because newly
-        enriched repositories change the keys of old events too. Replacing a table equals
-        merging into the old one, without having to join with it.
+        Both modes leave the same rows. An incremental build replaces the dimensions, and of
+        the facts only the years that gained events or hold events whose keys changed.
         """
         repositories = self.table("repositories").read_or_empty(S.REPOSITORIES)
         contributors = self.table("contributors").read_or_empty(S.CONTRIBUTORS)
-        stamps = [self.silver(kind).select("created_at") for kind in dims.DATED_TYPES]
-        for part in stamps[1:]:
-            stamps[0] = stamps[0].unionAll(part)
-        self.table("dim_date").overwrite(dims.dim_date(stamps[0], period=period))
-        self.table("dim_repository").overwrite(
-            dims.dim_repository(repositories, self.as_of, topic_pattern)
+        fresh = {
+            "dim_repository": dims.dim_repository(repositories, self.as_of, topic_pattern),
+            "dim_contributor": dims.dim_contributor(contributors),
+            "dim_language": dims.dim_language(repositories),
+        }
+        counts = self._event_counts()
+        years = self._changed_years(fresh, counts) if mode == INCREMENTAL else None
+        # a build that fails half-way is followed by one of all years
+        self._forget_built()
+        self._build_dates(years, period)
+        for name, rows in fresh.items():
+            self.table(name).overwrite(rows)
+        if years != []:
+            self._build_facts(years)
+        state = [(kind, year, n) for (kind, year), n in counts.items()]
+        self.table(_BUILT).overwrite(self.spark.createDataFrame(state, _BUILT_SCHEMA))
+        return years
+
+    def _event_counts(self) -> dict[tuple[str, int], int]:
+        """Rows per event type and year, from the folders and file footers."""
+        tables = [
+            self.silver(kind).select(F.lit(kind).alias("type"), "year") for kind in facts.STREAM_TYPES
+        ]
+        for part in tables[1:]:
+            tables[0] = tables[0].unionAll(part)
+        counted = tables[0].groupBy("type", "year").agg(F.count(F.lit(1)).alias("n"))
+        return {(r["type"], r["year"]): r["n"] for r in counted.collect()}
+
+    def _forget_built(self) -> None:
+        self.table(_BUILT).overwrite(self.spark.createDataFrame([], _BUILT_SCHEMA))
+
+    def _changed_years(
+        self, fresh: dict[str, DataFrame], counts: dict[tuple[str, int], int]
+    ) -> list[int] | None:
+        """Years whose facts can differ from the stored ones; None if all have to be built."""
+        if not all(self.table(name).exists() for name in (*GOLD_TABLES, _BUILT)):
+            return None
+        built = {(r["type"], r["year"]): r["n"] for r in self.read(_BUILT).collect()}
+        if not built or any(counts.get(key, 0) < n for key, n in built.items()):
+            return None
+
+        def changed(name: str, *columns: str) -> DataFrame:
+            """Rows of the columns that only the stored or only the fresh dimension holds."""
+            old, new = self.read(name).select(*columns), fresh[name].select(*columns)
+            return old.subtract(new).unionAll(new.subtract(old))
+
+        # languages are numbered in alphabetical order: a new one moves those behind it
+        if not changed("dim_language", "language_key", "language_name").isEmpty():
+            return None
+        repos = changed("dim_repository", "repo_id", "language").select("repo_id").distinct()
+        people = changed("dim_contributor", "actor_id").distinct()
+        events = self._all_events().select("repo_id", "actor_id", "year")
+        moved = (
+            events.join(repos, "repo_id", "left_semi")
+            .select("year")
+            .unionAll(events.join(people, "actor_id", "left_semi").select("year"))
+            .distinct()
         )
-        self.table("dim_contributor").overwrite(dims.dim_contributor(contributors))
-        self.table("dim_language").overwrite(dims.dim_language(repositories))
+        grown = {year for (kind, year), n in counts.items() if built.get((kind, year)) != n}
+        return sorted(grown | {r["year"] for r in moved.collect()})
 
+    def _build_dates(self, years: list[int] | None, period: tuple[str, str, str]) -> None:
+        """Hours that occur; outside of `years` those of the stored dimension."""
+        stamps = [_of_years(self.silver(kind), years).select("created_at") for kind in dims.DATED_TYPES]
+        for part in stamps[1:]:
+            stamps[0] = stamps[0].unionAll(part)
+        dates = dims.dim_date(stamps[0], period=period)
+        if years is None:
+            self.table("dim_date").overwrite(dates)
+            return
+        others = self.read("dim_date").filter(~F.col("year").isin(years))
+        hour = F.expr("CAST(full_date AS TIMESTAMP) + make_interval(0, 0, 0, 0, CAST(hour AS INT))")
+        kept = dims.describe_hours(others.select(hour.alias("h")), period)
+        with staged(kept.unionByName(dates), "dates") as rows:
+            self.table("dim_date").overwrite(rows)
+
+    def _build_facts(self, years: list[int] | None) -> None:
         def keyed(kind: str) -> DataFrame:
             return dims.attach_keys(
-                self.silver(kind),
+                _of_years(self.silver(kind), years),
                 self.read("dim_repository"),
                 self.read("dim_contributor"),
                 self.read("dim_language"),
             )
 
+        def store(name: str, rows: DataFrame) -> None:
+            if years is None:
+                self.table(name).overwrite(rows, partition="year")
+            else:
+                self.table(name).replace_partitions(rows)
+
+        def stored(name: str) -> DataFrame:
+            return _of_years(self.read(name), years)
+
         # the typed tables hold each event id once, so the facts need no second dedup
-        build = {
-            "fact_push_events": facts.fact_push(keyed(S.PUSH), unique=True),
-            "fact_pr_events": facts.fact_pr(keyed(S.PULL_REQUEST), unique=True),
-            "fact_issues_events": facts.fact_issues(keyed(S.ISSUES), unique=True),
-            "fact_release_events": facts.fact_release(keyed(S.RELEASE), unique=True),
-        }
-        for name, fact in build.items():
-            self.table(name).overwrite(fact, partition="year")
+        store("fact_push_events", facts.fact_push(keyed(S.PUSH), unique=True))
+        store("fact_pr_events", facts.fact_pr(keyed(S.PULL_REQUEST), unique=True))
+        store("fact_issues_events", facts.fact_issues(keyed(S.ISSUES), unique=True))
+        store("fact_release_events", facts.fact_release(keyed(S.RELEASE), unique=True))
         # the aggregates read the stored facts back: nothing is keyed twice
         stream = facts.stream_from_facts(
-            self.read("fact_push_events"),
-            self.read("fact_pr_events"),
-            self.read("fact_issues_events"),
+            stored("fact_push_events"),
+            stored("fact_pr_events"),
+            stored("fact_issues_events"),
             keyed(S.WATCH),
             keyed(S.FORK),
-            self.read("fact_release_events"),
-        )
-        self.table("fact_repo_activity_daily").overwrite(
-            activity.repo_activity(stream), partition="year"
-        )
-        self.table("fact_language_yearly").overwrite(
-            activity.language_yearly(activity.language_yearly_base(stream))
+            stored("fact_release_events"),
         )
+        store("fact_repo_activity_daily", activity.repo_activity(stream))
+        base = activity.language_yearly_base(stream)
+        yearly = self.table("fact_language_yearly")
+        if years is not None:
+            others = yearly.read().filter(~F.col("year").isin(years)).select(*base.columns)
+            base = others.unionByName(base)
+        # a few rows per language and year; growth looks back over the years
+        with staged(activity.language_yearly(base), "yearly") as rows:
+            yearly.overwrite(rows)
 
     def compact(self, names: Sequence[str] = GOLD_TABLES) -> None:
         for name in names:
             if self.table(name).exists():
                 self.table(name).compact()
 
+    def _views(self) -> Iterator[tuple[str, DataFrame]]:
+        """Name and rows of each analysis view whose tables exist."""
+        for name, (build, inputs) in views.VIEWS.items():
+            if all(self.table(table).exists() for table in inputs):
+                yield name, build(*(self.read(table) for table in inputs))
+
     def register_views(self) -> list[str]:
         """Tables and analysis views as temporary views; views lacking a table are skipped."""
         done = []
-        for name, (build, inputs) in views.VIEWS.items():
-            if all(self.table(table).exists() for table in inputs):
-                for table in inputs:
-                    self.read(table).createOrReplaceTempView(table)
-                build(*(self.read(table) for table in inputs)).createOrReplaceTempView(name)
-                done.append(name)
+        for name, rows in self._views():
+            for table in views.VIEWS[name][1]:
+                self.read(table).createOrReplaceTempView(table)
+            rows.createOrReplaceTempView(name)
+            done.append(name)
+        return done
+
+    def write_views(self, target: str) -> dict[str, str]:
+        """Analysis views as Parquet folders with audit columns, for readers outside the session.
+
+        Returns {view: run id}; views lacking a table are skipped.
+        """
+        run_id, done = str(uuid.uuid4()), {}
+        for name, rows in self._views():
+            with_audit(rows, run_id).write.mode("overwrite").parquet(posixpath.join(target, name))
+            done[name] = run_id
         return done
 
     # ---- model tables ---------------------------------------------------------------------
@@ -332,3 +444,7 @@ class Mart:
             computed_at=self.as_of,
         )
         return self.table("ml_language_trend_forecasts").overwrite(fitted)
+
+
+def _of_years(rows: DataFrame, years: list[int] | None) -> DataFrame:
+    return rows if years is None else rows.filter(F.col("year").isin(years))

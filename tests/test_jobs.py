@@ -9,12 +9,13 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import as_set
+from pyspark.sql import functions as F
 
 from eventmart import schemas as S
 from eventmart.functions import vocab as V
 from eventmart.operators import model
-from eventmart.plans.pipeline import FULL, Mart
-from eventmart.sources.snapshots import Table
+from eventmart.plans.pipeline import FULL, GOLD_TABLES, INCREMENTAL, MODEL_TABLES, Mart
+from eventmart.sources.snapshots import Table, mirror
 from eventmart.streaming import activity as streaming
 from eventmart.streaming.ingest import event_stream, ingest
 
@@ -172,6 +173,101 @@ def test_train_score_trajectories_trends(built):
     assert len(mart.register_views()) == 17
 
 
+def test_mirror_and_views_for_other_readers(built, spark, tmp_path):
+    mart, *_ = built
+    copies = str(tmp_path / "copies")
+    done = mirror(spark, mart.root, copies, (*GOLD_TABLES, *MODEL_TABLES))
+    assert set(done) == {*GOLD_TABLES, *MODEL_TABLES}  # after the test that trains
+    written = mart.write_views(str(tmp_path / "views"))
+    assert len(written) == 17 and len(set(written.values())) == 1
+    got = spark.read.parquet(str(tmp_path / "views" / "analysis_bus_factor"))
+    assert {r._pipeline_run_id for r in got.collect()} == set(written.values())
+    mart.register_views()
+    assert as_set(got.drop("_pipeline_run_id", "_loaded_at")) == as_set(spark.table("analysis_bus_factor"))
+
+
+def _files_of(mart, name, year):
+    paths = mart.read(name).filter(F.col("year") == year).inputFiles()
+    return {p for p in paths if f"year={year}/" in p}
+
+
+def test_incremental_gold_equals_a_full_build(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "mart"), "2020-01-01")
+    mart.build_silver(write_file(tmp_path, "a.json.gz", make_events(7, 600)), FULL)
+    responses = tmp_path / "r"
+
+    def enrich(number, *repos):
+        lines = [
+            json.dumps({"id": k, "full_name": f"own/repo{k}", "language": language, "created_at": "2012-03-01T00:00:00Z"})
+            for k, language in repos
+        ]
+        (responses / str(number)).mkdir(parents=True)
+        (responses / str(number) / "part.json").write_text("\n".join(lines))
+        mart.load_metadata(str(responses / str(number)))
+
+    def rows():
+        return {name: as_set(mart.read(name)) for name in GOLD_TABLES}
+
+    def incremental_equals_full():
+        years = mart.build_gold(mode=INCREMENTAL)
+        got = rows()
+        mart.build_gold()
+        assert got == rows()
+        return years
+
+    enrich(0, *[(k, ["Go", "Rust"][k % 2]) for k in range(1, 30)])
+    mart.load_contributors()
+    assert mart.build_gold(mode=INCREMENTAL) is None  # nothing stored yet
+    assert incremental_equals_full() == []
+    # one new event: one year, the files of the others stay
+    event = make_events(8, 1, first_id=9000)[0] | {"created_at": "2016-05-05T05:05:05Z", "type": S.WATCH, "payload": {"action": "started"}}
+    mart.build_silver(write_file(tmp_path, "b.json.gz", [event]))
+    kept, hit = _files_of(mart, "fact_push_events", 2015), _files_of(mart, "fact_push_events", 2016)
+    assert mart.build_gold(mode=INCREMENTAL) == [2016]
+    assert _files_of(mart, "fact_push_events", 2015) == kept and hit
+    assert not _files_of(mart, "fact_push_events", 2016) & hit
+    assert incremental_equals_full() == []
+    # a repository enriched later, with events in several years
+    enrich(1, (30, "Go"))
+    assert len(incremental_equals_full()) > 1
+    # a language that moves the keys of others, and a full refresh: all years
+    enrich(2, (31, "Ada 2022"))
+    assert incremental_equals_full() is None
+    mart.build_silver(write_file(tmp_path, "c.json.gz", make_events(9, 50)), FULL)
+    assert incremental_equals_full() is None
+
+
+def test_batch_quarantine_keeps_what_is_rejected(spark, tmp_path):
+    bad = json.dumps({"id": "x", "type": "Other"})
+    path = write_file(tmp_path, "a.json.gz", make_events(4, 20), bad, "broken")
+    rejected = str(tmp_path / "rejected")
+    for mode in (FULL, INCREMENTAL):  # the same input replaces its folder
+        mart = Mart(spark, str(tmp_path / mode), "2020-01-01")
+        assert sum(mart.build_silver(path, mode, quarantine=rejected).values()) == 20
+        found = spark.read.parquet(rejected).collect()
+        assert sorted(r.reason for r in found) == ["malformed", "other_type"]
+        assert {r._corrupt_record for r in found if r.reason == "malformed"} == {"broken"}
+
+
+def test_command_line_profile_and_worklist(built, spark, tmp_path, monkeypatch):
+    from eventmart import __main__ as command
+
+    mart, *_ = built
+    path = write_file(tmp_path, "2015-01-01-0.json.gz", make_events(4, 20))
+
+    def run(*arguments):
+        monkeypatch.setattr("sys.argv", ["eventmart", "--root", mart.root, *arguments])
+        command.main()
+
+    run("profile", "--input", path, "--output", str(tmp_path / "profile"))
+    profile = spark.read.parquet(str(tmp_path / "profile")).collect()
+    assert sum(r.event_count for r in profile) == 20 and {r.batch_year for r in profile} == {2015}
+    run("worklist", "--output", str(tmp_path / "list"), "--top-n", "50")
+    assert [r.repo_id for r in spark.read.parquet(str(tmp_path / "list")).collect()] == [0]
+    run("views", "--output", str(tmp_path / "views"))
+    assert (tmp_path / "views" / "analysis_bus_factor").exists()
+
+
 def test_stream_equals_batch_and_quarantines(spark, tmp_path):
     raw, root = tmp_path / "raw", str(tmp_path / "mart")
     bad = json.dumps({"id": "x", "type": "Other"})
