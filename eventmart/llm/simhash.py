@@ -7,6 +7,10 @@ meet. Each distinct fingerprint thus emits 66 variants; those that collide are v
 counting the differing bits of all 64. Only fingerprints under a crowded variant (over CROWD
 members) emit their whole ball of radius 2: whoever meets there is linked by construction, so
 each is tied to the smallest of the meeting instead of to every other.
+
+A fingerprint of 64 bits cannot tell a similarity: texts that share four of five shingles lie up to
+16 bits apart, and at that distance any two texts meet in any block. `keep_unlike` therefore
+compares the shingle sets themselves.
 """
 
 from __future__ import annotations
@@ -28,22 +32,20 @@ RADIUS = 4
 CROWD = 64
 CHUNK = 1 << 16  # shingles hashed at a time
 TASK = 8192  # fingerprints whose variants one task makes
+SAMPLE = 64  # one text in so many is searched for frequent shingles; they only decide an order
+SEVERAL = 3  # texts of the sample that make a shingle frequent
+FREQUENT = 1 << 17  # frequent shingles held at most
 FILTER_BITS = 24  # size of the bitmap of busy variants: a fixed 2**18 words
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def fingerprint_text(text: str | None, width: int = 4, seed: int = 42) -> int:
-    """Unsigned 64-bit SimHash over word shingles; 0 without words.
-
-    Words are split at ASCII white space after lower-casing A-Z. A bit is 1 if it is set in
-    over half the shingle hashes, repeats included; fewer than `width` words are one shingle.
-    """
+def _shingle_hashes(text: str | None, width: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of the word shingles in their order, in chunks of bounded length; none without words."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
-        return 0
+        return
     width = min(width, len(words))
     total = len(words) - width + 1
-    ones = np.zeros(64, np.int64)
     for at in range(0, total, CHUNK):
         part = words[at : min(total, at + CHUNK) + width - 1]
         line = b" ".join(part)
@@ -51,9 +53,26 @@ def fingerprint_text(text: str | None, width: int = 4, seed: int = 42) -> int:
         ends = np.cumsum(lengths + 1) - 1
         starts = (ends - lengths)[: len(part) - width + 1].tolist()
         shingles = map(line.__getitem__, map(slice, starts, ends[width - 1 :].tolist()))
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.dtype("<u8"), len(starts))
+        yield np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.dtype("<u8"), len(starts))
+
+
+def shingle_set(text: str | None, width: int, seed: int = 42) -> np.ndarray:
+    """The different word shingles of a text: ascending 64-bit hashes, then read as signed."""
+    parts = [np.unique(h) for h in _shingle_hashes(text, width, seed)]
+    return np.unique(np.concatenate(parts)).view(np.int64) if parts else np.empty(0, np.int64)
+
+
+def fingerprint_text(text: str | None, width: int = 4, seed: int = 42) -> int:
+    """Unsigned 64-bit SimHash over word shingles; 0 without words.
+
+    Words are split at ASCII white space after lower-casing A-Z. A bit is 1 if it is set in
+    over half the shingle hashes, repeats included; fewer than `width` words are one shingle.
+    """
+    ones, total = np.zeros(64, np.int64), 0
+    for hashes in _shingle_hashes(text, width, seed):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        total += len(hashes)
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
@@ -94,14 +113,14 @@ def _close(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= RADIUS
 
 
-def _maybe_in(variants: DataFrame, busy: DataFrame) -> DataFrame:
-    """The variants without most of those that are not busy: a bitmap of hashes, of fixed size, is broadcast."""
+def _busy_only(variants: DataFrame, busy: DataFrame) -> DataFrame:
+    """The rows without most of those whose key is not busy: a bitmap of hashes, of fixed size, is broadcast."""
     spot = F.pmod(F.xxhash64("key"), F.lit(1 << FILTER_BITS))
     word, bit = F.shiftright(spot, 6).alias("word"), spot.bitwiseAND(F.lit(63)).cast("int").alias("bit")
     one = F.expr("shiftleft(1L, bit)")
     bitmap = busy.select(word, bit).groupBy("word").agg(F.bit_or(one).alias("bits"))
     marked = variants.select("*", word, bit).join(F.broadcast(bitmap), "word")
-    return marked.where(F.col("bits").bitwiseAND(one) != 0).select("fp", "key")
+    return marked.where(F.col("bits").bitwiseAND(one) != 0).select(*variants.columns)
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -116,7 +135,7 @@ def links(prints: DataFrame) -> DataFrame:
     met = durable(met.where("n > 1"), "meetings")
     pairs = met.where("n = 2").where(_close("a", "b")).select("a", "b")
     busy = met.where("n > 2").select("key", "n")
-    members = durable(_maybe_in(_variants(prints), busy).join(busy, "key"), "members")
+    members = durable(_busy_only(_variants(prints), busy).join(busy, "key"), "members")
     few = members.where(F.col("n") <= CROWD).select("key", "fp")
     some = (
         few.select("key", F.col("fp").alias("a"))
@@ -174,3 +193,90 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     named = least.join(rooted, least["fp"] == rooted["node"], "left")
     first = named.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     return rows.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").drop(row)
+
+
+def keep_unlike(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without near copies: of each class, the row with the smallest key stays.
+
+    Two texts are linked if their sets of `width`-word shingles (by 64-bit hashes) have a Jaccard
+    similarity of at least `percent` / 100; a class is what links connect. Words are those of
+    `fingerprint_text`; texts without words, nulls included, are alike. Of rows that share the
+    smallest key, one stays. All columns are kept as they are.
+
+    No pair is missed: with the shingles of all texts in one order, sets of that similarity share one
+    among their first n - ceil(percent n / 100) + 1. Only texts that do are compared in full. The order
+    puts shingles that are frequent in a sample last, so that common ones seldom bring texts together.
+    """
+    rows, row = with_rows(docs)
+    order, words = fresh(rows, "_key"), F.col("_words")
+    texts = rows.select(col(key).alias(order), col(row).alias("node"), col(text).alias("_words"))
+    hot = _frequent(texts.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0), width)
+    made = texts.select(order, "node", _leading(words, width, percent, hot).alias("s"))
+    sketches = durable(made.select(order, "node", "s.*"), "sketches")
+    least = sketches.groupBy("same").agg(F.min(F.struct(F.col(order).isNull(), order, "node")).alias("first"))
+    least = durable(least.select("first", F.col("first.node").alias("node")), "least")
+    rooted = durable(components(_alike(texts, sketches.join(least.select("node"), "node", "left_semi"), width, percent)), "roots")
+    named = least.join(rooted, "node", "left")
+    first = named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    return rows.join(first.select(F.col("first.node").alias(row)), row, "left_semi").drop(row)
+
+
+def _frequent(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that stand in several texts of a sample, ascending, and in how many; at most FREQUENT."""
+    seen = texts.select(F.explode(_sets(F.col("_words"), width)).alias("hash")).groupBy("hash").agg(F.count("*").alias("n"))
+    most = seen.where(f"n >= {SEVERAL}").orderBy(F.desc("n"), "hash").limit(FREQUENT).toPandas().sort_values("hash")
+    return most["hash"].to_numpy(np.int64), most["n"].to_numpy(np.int64)
+
+
+def _sets(text: Column, width: int) -> Column:
+    """Column array<long>: the different shingles."""
+
+    @F.pandas_udf("array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([shingle_set(t, width) for t in batch], dtype=object)
+
+    return run(text)
+
+
+def _leading(text: Column, width: int, percent: int, hot: tuple[np.ndarray, np.ndarray]) -> Column:
+    """Column struct: a digest of the shingle set, its size, and the first shingles in the common order."""
+    known, often = hot
+
+    @F.pandas_udf("same binary, n int, lead array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            same, n, lead = [], [], []
+            for t in batch:
+                found = shingle_set(t, width)
+                size = len(found)
+                same.append(xxhash.xxh3_128_digest(found.tobytes()))
+                n.append(size)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                    rank = np.where(known[at] == found, often[at], 0)
+                    found = found[np.argsort(rank, kind="stable")]
+                # a copy, as a slice would hold the whole set
+                lead.append(found[: size - -(-percent * size // 100) + 1].copy())
+            yield pd.DataFrame({"same": same, "n": n, "lead": pd.Series(lead, dtype=object)})
+
+    return run(text)
+
+
+def _alike(texts: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+    """Edges (a, b) between all texts of `sketches` (different sets) that are similar enough."""
+    leads = sketches.select("node", "n", F.posexplode("lead").alias("at", "key"))
+    busy = durable(leads.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "busy")
+    members = durable(_busy_only(leads, busy).join(busy, "key", "left_semi"), "members")
+    a, b = (members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "at")]) for s in "ab")
+    # what both sets can still share from this place on; the first place a pair shares always passes
+    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    enough = (100 + percent) * rest.cast("long") >= percent * (F.col("n_a") + F.col("n_b")).cast("long")
+    pairs = a.join(b, "key").where(F.col("node_a") < F.col("node_b")).where(enough)
+    pairs = durable(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = durable(texts.join(nodes, "node", "left_semi").select("node", _sets(F.col("_words"), width).alias("set")), "sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y")).cast("long")
+    return both.where((100 + percent) * shared >= percent * (F.size("x") + F.size("y")).cast("long")).select("a", "b")
