@@ -3,7 +3,7 @@
 A block of text that holds a license compresses much better once the compressor has seen the
 license. Every candidate block is compressed plainly and with each template as a raw zstandard
 dictionary; templates are ranked by how much of their own compressed size the block loses, and
-the best ones are confirmed by comparing the wording word by word.
+those with enough gain are confirmed by comparing the wording word by word.
 """
 
 from __future__ import annotations
@@ -73,7 +73,6 @@ TEMPLATES = {
 }
 CUES = "licen[cs]|copyright|permission|permitted|redistribut|free software|public domain|warrant|creative commons|unencumbered|merchantab"
 LEVEL = 9
-RANKED = 4  # templates that are compared word by word
 DIFFERENT = 0.1  # wording differences allowed, as a share of the template's words
 MIN_GAIN = 0.1  # least share of the template's compressed size that a block must lose; the wording decides
 
@@ -167,7 +166,7 @@ def scan_text(text: str | None) -> list[tuple[int, int, str, float, int, str]]:
         ranked = sorted(((base - len(t.compressor.compress(data))) / t.size, t.name, t) for t in _templates())[::-1]
         places = [m.span() for m in _WORD.finditer(text, start, end)]
         words = [text[a:b].lower() for a, b in places]
-        for gain, name, template in [r for r in ranked if r[0] >= MIN_GAIN][:RANKED]:
+        for gain, name, template in [r for r in ranked if r[0] >= MIN_GAIN]:
             for first, last, changed, wording in _compare(template, words):
                 if changed <= DIFFERENT * len(template.words):
                     key = places[first][0], places[last - 1][1]
