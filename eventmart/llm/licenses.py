@@ -9,12 +9,13 @@ those with enough gain are confirmed by comparing the wording word by word.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 from functools import cache
 
+import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
@@ -76,6 +77,11 @@ LEVEL = 9
 DIFFERENT = 0.1  # wording differences allowed, as a share of the template's words
 MIN_GAIN = 0.1  # least share of the template's compressed size that a block must lose; the wording decides
 
+_BITS = 32
+_ONE = 1 << _BITS
+_LOW = _ONE - 1
+_MANY = 1 << 60
+
 _CUE = re.compile(CUES, re.IGNORECASE)
 _WORD = re.compile(r"\w+(?:[.-]\w+)*")
 SCHEMA = "start long, end long, template string, gain double, differences int, wording string"
@@ -85,6 +91,7 @@ SCHEMA = "start long, end long, template string, gain double, differences int, w
 class Template:
     name: str
     words: tuple[str, ...]
+    ids: tuple[int, ...]
     size: int
     compressor: zstandard.ZstdCompressor
 
@@ -93,6 +100,12 @@ def _plain() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
 
+@cache
+def _word_ids() -> dict[str, int]:
+    """A number for every word of the templates."""
+    return {w: i for i, w in enumerate(sorted({w for t in TEMPLATES.values() for w in _WORD.findall(t.lower())}))}
+
+
 @cache
 def _templates() -> tuple[Template, ...]:
     out = []
@@ -103,7 +116,7 @@ def _templates() -> tuple[Template, ...]:
         own = zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_dict_id=False)
         data = text.encode()
         size = len(_plain().compress(data)) - len(own.compress(data))
-        out.append(Template(name, words, size, own))
+        out.append(Template(name, words, tuple(map(_word_ids().__getitem__, words)), size, own))
     return tuple(out)
 
 
@@ -138,22 +151,43 @@ def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
         i = j + 1
 
 
+def _closest(template: Template, words: np.ndarray) -> tuple[int, int, int] | None:
+    """(differences, first word, word after the last) of the run of words that is closest to a template.
+
+    Differences are words changed, added or left out at the least. None if over DIFFERENT of the template's.
+    """
+    at = np.arange(len(words) + 1)
+    # differences above, a start below: the smallest number has the fewest differences, then the latest start
+    start = _LOW - at
+    best = start
+    for word in template.ids:
+        left_out = best + _ONE
+        kept = best[:-1] + np.where(words == word, 0, _ONE)
+        best = np.minimum(left_out, np.append(_MANY, kept))
+        best = np.minimum.accumulate(best - at * _ONE) + at * _ONE
+    last = int(np.argmin(best >> _BITS))
+    changed, first = int(best[last] >> _BITS), int(_LOW - (best[last] & _LOW))
+    return (changed, first, last) if changed <= DIFFERENT * len(template.ids) and first < last else None
+
+
 def _compare(template: Template, words: list[str]) -> list[tuple[int, int, int, str]]:
-    """(first word, word after the last, differences, wording) of a template in a block."""
-    match = SequenceMatcher(None, template.words, words, autojunk=False)
-    same = [b for b in match.get_matching_blocks() if b.size]
-    if not same:
-        return []
-    first, last = same[0].b - same[0].a, same[-1].b + same[-1].size
-    first = max(0, min(first, same[0].b))
-    last = min(len(words), last + len(template.words) - same[-1].a - same[-1].size)
-    ops = SequenceMatcher(None, template.words, words[first:last], autojunk=False).get_opcodes()
-    changed, notes = 0, []
-    for op, a, b, c, d in ops:
-        if op != "equal":
-            changed += max(b - a, d - c)
-            notes.append(f"{' '.join(template.words[a:b]) or '-'} > {' '.join(words[first + c : first + d]) or '-'}")
-    return [(first, last, changed, "; ".join(notes))]
+    """(first word, word after the last, differences, wording) of each place of a template in a block."""
+    ids = np.array([_word_ids().get(w, -1) for w in words], np.int64)
+    found, rest = [], [(0, len(words))]
+    while rest:
+        low, high = rest.pop()
+        hit = _closest(template, ids[low:high]) if high > low else None
+        if not hit:
+            continue
+        changed, first, last = hit[0], low + hit[1], low + hit[2]
+        notes = []
+        if changed:
+            for op, a, b, c, d in SequenceMatcher(None, template.words, words[first:last], autojunk=False).get_opcodes():
+                if op != "equal":
+                    notes.append(f"{' '.join(template.words[a:b]) or '-'} > {' '.join(words[first + c : first + d]) or '-'}")
+        found.append((first, last, changed, "; ".join(notes)))
+        rest += [(low, first), (last, high)]
+    return found
 
 
 def scan_text(text: str | None) -> list[tuple[int, int, str, float, int, str]]:
@@ -174,20 +208,21 @@ def scan_text(text: str | None) -> list[tuple[int, int, str, float, int, str]]:
                     if key not in found or (changed, -gain) < (found[key][4], -found[key][3]):
                         found[key] = hit
     # of overlapping finds the one with more text stays
-    kept: list[tuple] = []
+    kept: list[tuple] = []  # by place
     for hit in sorted(found.values(), key=lambda h: (h[0] - h[1], h[4], h[0], h[2])):
-        if all(hit[1] <= k[0] or hit[0] >= k[1] for k in kept):
-            kept.append(hit)
-    return sorted(kept)
+        i = bisect_left(kept, hit)
+        if (not i or kept[i - 1][1] <= hit[0]) and (i == len(kept) or hit[1] <= kept[i][0]):
+            kept.insert(i, hit)
+    return kept
 
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, start, end (code points), template, gain, differences, wording: one row per license found.
 
     gain is the share of the template's compressed size that the block loses with it as a dictionary;
-    differences counts changed words, wording names them. A text without licenses, null and empty ones
-    included, has no row. Rows with a null key and repeated rows are scanned like any other. A license
-    that stands twice in one candidate stretch is reported once, at its closest wording.
+    differences counts changed words (the fewest that lead from one wording to the other), wording names
+    them. A license that stands several times has a row for each place. A text without licenses, null and
+    empty ones included, has no row. Rows with a null key and repeated rows are scanned like any other.
     """
 
     @F.pandas_udf(f"array<struct<{SCHEMA}>>")
