@@ -9,6 +9,7 @@ sequence, so the number of sequences does not depend on how many tasks share the
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -33,7 +34,8 @@ class _WordIds(dict):
     """Ids of a word as little-endian bytes; unknown words are encoded on first use."""
 
     def __init__(self, vocabulary: str):
-        model = json.loads(vocabulary)["model"]
+        whole = json.loads(vocabulary)
+        model = whole["model"]
         # byte-level vocabularies write bytes as printable characters
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         shown = {chr(b): b for b in plain}
@@ -41,6 +43,17 @@ class _WordIds(dict):
         ranks = {bytes(map(shown.__getitem__, t)): i for t, i in model["vocab"].items() if set(t) <= shown.keys()}
         core = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._piece = core._core_bpe.encode_single_piece
+        added = whole.get("added_tokens", [])
+        odd = [t["content"] for t in added if any(t[k] for k in ("single_word", "lstrip", "rstrip"))]
+        if odd:
+            raise ValueError(f"added tokens with options of their own: {odd}")
+        self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        longest = sorted(self.added, key=len, reverse=True)
+        self._split = re.compile("(" + "|".join(map(re.escape, longest)) + ")").split if longest else None
+
+    def parts(self, text: str) -> list[str]:
+        """The text between added tokens at even places, added tokens at odd ones."""
+        return self._split(text) if self._split else [text]
 
     def __missing__(self, word: str) -> bytes:
         found = np.array(self._piece(word.encode()), "<u4").tobytes()
@@ -59,21 +72,34 @@ def _word_ids(vocabulary: str) -> _WordIds:
 
 
 def token_bytes(texts: list[str], vocabulary: str, end: int) -> Iterator[tuple[int, bytes]]:
-    """(text number, ids as little-endian unsigned 32-bit), each followed by the id `end`."""
+    """(text number, ids as little-endian unsigned 32-bit), each followed by the id `end`.
+
+    As in the library, an added token of the vocabulary is one id wherever it stands in a text.
+    """
     known = _word_ids(vocabulary)
     stop = np.array([end], "<u4").tobytes()
+    parts: list[str] = []
+    after: list[tuple[int, bytes, bool]] = []  # text, id that follows the part, whether the text ends
+    for i, t in enumerate(texts):
+        split = known.parts(t or "")
+        parts += split[::2]
+        after += [(i, known.added[t], False) for t in split[1::2]] + [(i, stop, True)]
     open_parts: list[bytes] = []
-    last = 0
-    for group in grouped_runs([t or "" for t in texts]):
+    at = 0
+    for group in grouped_runs(parts):
         if len(known) > CACHED:
             known.clear()
-        for i, part in group:
-            if i != last:
-                yield last, b"".join([*open_parts, stop])
-                open_parts, last = [], i
+        for k, part in group:
+            while at < k:
+                i, ids, ends = after[at]
+                open_parts.append(ids)
+                if ends:
+                    yield i, b"".join(open_parts)
+                    open_parts = []
+                at += 1
             open_parts.append(b"".join(map(known.__getitem__, part)))
     if texts:
-        yield last, b"".join([*open_parts, stop])
+        yield after[at][0], b"".join([*open_parts, stop])
 
 
 def token_pieces(docs: DataFrame, vocabulary_path: str, text: str = "text", capacity: int = 1024, end: int = 2, ids: bool = False) -> DataFrame:
@@ -81,8 +107,8 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, text: str = "text", capa
 
     Adds piece (from 0), start (the document's ids before it), length, ids_crc32 and, if `ids`,
     token_ids (array<int>). A document of more than `capacity` ids is cut so that only its first
-    piece is shorter. A null or empty text is the single id `end`. Strings of special tokens in
-    a text are ordinary text.
+    piece is shorter. A null or empty text is the single id `end`. Strings of added tokens in a
+    text are those tokens, as in the library.
     """
     spark = docs.sparkSession
     with open(vocabulary_path, encoding="utf-8") as file:
