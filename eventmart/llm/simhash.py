@@ -264,7 +264,7 @@ def _leading(text: Column, width: int, percent: int, hot: tuple[np.ndarray, np.n
 
 
 def _alike(texts: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
-    """Edges (a, b) between all texts of `sketches` (different sets) that are similar enough."""
+    """Edges (a, b) between similar texts of `sketches` (different sets); their components are those of all links."""
     leads = sketches.select("node", "n", F.posexplode("lead").alias("at", "key"))
     busy = durable(leads.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "busy")
     members = durable(_busy_only(leads, busy).join(busy, "key", "left_semi"), "members")
@@ -274,9 +274,33 @@ def _alike(texts: DataFrame, sketches: DataFrame, width: int, percent: int) -> D
     enough = (100 + percent) * rest.cast("long") >= percent * (F.col("n_a") + F.col("n_b")).cast("long")
     pairs = a.join(b, "key").where(F.col("node_a") < F.col("node_b")).where(enough)
     pairs = durable(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = durable(texts.join(nodes, "node", "left_semi").select("node", _sets(F.col("_words"), width).alias("set")), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y")).cast("long")
-    return both.where((100 + percent) * shared >= percent * (F.size("x") + F.size("y")).cast("long")).select("a", "b")
+    nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    near = _busy_only(texts.select(F.col("node").alias("key"), "_words"), nodes)
+    near = durable(near.join(nodes, "key", "left_semi"), "near")
+    # one pair for each text first: most others lie within the classes that these make
+    some = durable(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "some")
+    sure = durable(_confirmed(some, near, width, percent), "sure")
+    rooted = durable(components(sure), "rooted")
+    rest = pairs.join(some, ["a", "b"], "left_anti")
+    for side in "ab":
+        rest = rest.join(rooted.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    return sure.union(_confirmed(rest.where(apart).select("a", "b"), near, width, percent))
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose texts (key, _words) are similar enough, by their whole shingle sets."""
+
+    @F.pandas_udf("boolean")
+    def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            out = []
+            for x, y in zip(left, right, strict=True):
+                x, y = shingle_set(x, width), shingle_set(y, width)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                out.append((100 + percent) * shared >= percent * (len(x) + len(y)))
+            yield pd.Series(out, dtype=bool)
+
+    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("_words").alias("x")), "a")
+    both = both.join(texts.select(F.col("key").alias("b"), F.col("_words").alias("y")), "b")
+    return both.where(similar("x", "y")).select("a", "b")
