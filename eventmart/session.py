@@ -5,8 +5,9 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,15 +89,45 @@ def drop_work(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
-def durable(frame: DataFrame, name: str = "frame") -> DataFrame:
+# paths of the durable copies made below the innermost `settled`
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)
+
+
+def durable(frame: DataFrame, name: str = "frame", by: Sequence[str] = ()) -> DataFrame:
     """Cut the lineage of a frame: write it to the shared folder and read it back.
 
     Compared with an RDD checkpoint the copy is columnar: later reads prune columns, and
-    the planner knows its size.
+    the planner knows its size. With `by` (the last columns) their values have folders of their own.
     """
     path = work_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    frame.write.partitionBy(*by).parquet(path)
+    copy = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    copy._durable_path = path
+    return copy
+
+
+def release(*copies: DataFrame) -> None:
+    """Drop durable copies whose last reader is done."""
+    for copy in copies:
+        drop_work(copy.sparkSession, copy._durable_path)
+
+
+def settled(make: Callable[[], DataFrame], name: str = "frame") -> DataFrame:
+    """A durable copy of make(), without the durable copies that were made on the way."""
+    made: list[str] = []
+    outer = _made.set(made)
+    try:
+        try:
+            frame = make()
+        finally:
+            _made.reset(outer)
+        return durable(frame, name)
+    finally:
+        for old in made:
+            drop_work(SparkSession.active(), old)
 
 
 @contextmanager
