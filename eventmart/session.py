@@ -24,6 +24,8 @@ RUNTIME_CONF = {
     # aggregate above the join one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # a job of many steps must not hold the shuffle files of those that are done
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 # Settings that a session can only be created with.
