@@ -17,24 +17,24 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.llm.common import col
+from eventmart.llm.shingles import STEP, shingle_hashes, word_hashes_of
 from eventmart.session import durable, release, settled
 
 WINDOW = 10
 WIDTH = 5
 PIECE = 1 << 20  # bytes of a text that are split into words at a time
 OUT = 1 << 14  # places in one batch on their way to the shuffle
-FILTER_BITS = (16, 28)  # log2 of the least and the most bits of the filter; the most are 32 MB
+FILTER_BITS = (22, 28)  # log2 of the least and the most bits of the filter; the most are 32 MB
+SPREAD = 512  # bits for each shingle of the filter, up to the most: one in so many others passes
 # lower case for A-Z; all other ASCII but digits and lower-case letters parts words
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _pieces(text: str | None) -> Iterator[list[bytes]]:
@@ -54,23 +54,12 @@ def words_of(text: str | None) -> list[str]:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """One 64-bit hash per word."""
-    parts = [np.fromiter(map(xxhash.xxh64_intdigest, p), np.uint64, len(p)) for p in _pieces(text)]
+    parts = [word_hashes_of(p) for p in _pieces(text)]
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """One 64-bit hash per run of `width` words, from the hashes of the words; `width` is part of it."""
-    n = max(0, len(words) - width + 1)
-    out = np.full(n, width, np.uint64)
-    for i in range(width):
-        out *= _STEP
-        out += words[i : i + n]
-        out ^= out >> np.uint64(29)
-    return out
-
-
 def _spot(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes * _STEP) >> np.uint64(64 - bits)
+    return (hashes * STEP) >> np.uint64(64 - bits)
 
 
 def _windows(items: DataFrame, key: str, text: str, window: int, width: int) -> DataFrame:
@@ -94,9 +83,9 @@ def _windows(items: DataFrame, key: str, text: str, window: int, width: int) ->
 
 
 def _filter(hashes: DataFrame) -> tuple[np.ndarray, int]:
-    """A bitmap over the column `hash`, of 16 bits or more for each up to the fixed limit, and log2 of its size."""
+    """A bitmap over the column `hash`, of SPREAD bits or more for each up to the fixed limit, and log2 of its size."""
     low, high = FILTER_BITS
-    bits = min(high, max(low, (16 * hashes.count()).bit_length()))
+    bits = min(high, max(low, (SPREAD * hashes.count()).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
