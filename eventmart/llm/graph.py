@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.session import durable
+from eventmart.session import durable, release
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -31,6 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = durable(large, "edges")
+        release(now)
         least = _least(large)
         hung = large.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         now = durable(hung.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
+        release(large)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.common import col, fresh
-from eventmart.session import durable
+from eventmart.session import durable, settled
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -161,19 +161,24 @@ def score_patterns(seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT
     return scored.where(F.col("sureness") >= sure)
 
 
-def _found(docs: DataFrame, text: str) -> tuple[DataFrame, str, str, str]:
-    """A durable copy of `docs` with row number, base spans and, where there are any, added spans."""
-    row, made = fresh(docs, "_row"), fresh(docs, "_made")
+def _found(docs: DataFrame, text: str) -> tuple[DataFrame, Column, Column]:
+    """A durable copy of `docs`, its base spans and all its spans."""
+    row, made, more = fresh(docs, "_row"), fresh(docs, "_made"), fresh(docs, "_added")
     rows = docs.withColumn(made, F.pandas_udf(_scan, _FOUND)(col(text))).withColumn(row, F.monotonically_increasing_id())
     rows = durable(rows, "scanned")
-    seen = rows.select(row, F.inline(f"{made}.seen"))
-    accepted = score_patterns(seen)
-    open_ones = seen.where("kind < 0").select(row, "start", "end", "shapes", F.explode("contexts").alias("pattern"))
-    hits = open_ones.join(accepted, "pattern").where(F.array_contains("shapes", F.col("kind")))
-    best = Window.partitionBy(row, "start").orderBy(F.desc("sureness"), "kind")
-    hits = hits.withColumn("nth", F.row_number().over(best)).where("nth = 1")
-    added = hits.groupBy(row).agg(F.collect_list(F.struct("kind", "start", "end")).alias("_added"))
-    return rows.join(durable(added, "added"), row, "left"), row, f"{made}.base", made
+    seen = rows.select(col(row), F.inline(f"{made}.seen"))
+
+    def added() -> DataFrame:
+        accepted = score_patterns(seen)
+        open_ones = seen.where("kind < 0").select(row, "start", "end", "shapes", F.explode("contexts").alias("pattern"))
+        hits = open_ones.join(accepted, "pattern").where(F.array_contains("shapes", F.col("kind")))
+        best = Window.partitionBy(row, "start").orderBy(F.desc("sureness"), "kind")
+        hits = hits.withColumn("nth", F.row_number().over(best)).where("nth = 1")
+        return hits.groupBy(row).agg(F.collect_list(F.struct("kind", "start", "end")).alias(more))
+
+    rows = rows.join(settled(added, "added"), row, "left")
+    base = F.col(f"{made}.base")
+    return rows, base, F.concat(base, F.coalesce(col(more), F.array().cast(f"array<struct<{_SPAN}>>")))
 
 
 def _listed(spans: Column) -> Column:
@@ -192,9 +197,8 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     base_sha256 and spans_text list kind:start:end, by kind in the order email, ip, card, phone, then
     start. Null and empty texts have no spans. n_* count base spans.
     """
-    rows, _, base, _ = _found(docs.select(col(key).alias("key"), col(text).alias("text")), "text")
-    base = F.col(base)
-    everything = F.array_sort(F.concat(base, F.coalesce("_added", F.array().cast(f"array<struct<{_SPAN}>>"))))
+    rows, base, spans = _found(docs.select(col(key).alias("key"), col(text).alias("text")), "text")
+    everything = F.array_sort(spans)
     counts = [_number_of(base, k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select(
         F.col("key").alias(key), *counts, F.sha2(_listed(base), 256).alias("base_sha256"), everything.alias("spans"), _listed(everything).alias("spans_text")
@@ -221,8 +225,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Texts without spans, null and empty ones included, stay as they are.
     """
-    rows, _, base, _ = _found(docs, text)
-    spans = F.concat(F.col(base), F.coalesce("_added", F.array().cast(f"array<struct<{_SPAN}>>")))
+    rows, _, spans = _found(docs, text)
     touched = F.size(spans) > 0
     # only the texts that change go through Python
     masked = F.pandas_udf(_masked, "string")(F.when(touched, col(text)), spans)

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import col, fresh, with_rows
 from eventmart.llm.graph import components
-from eventmart.session import durable
+from eventmart.llm.shingles import shingle_hashes, word_hashes_of
+from eventmart.session import durable, release, settled
 
 RADIUS = 4
 CROWD = 64
@@ -56,10 +57,10 @@ def _shingle_hashes(text: str | None, width: int, seed: int) -> Iterator[np.ndar
         yield np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.dtype("<u8"), len(starts))
 
 
-def shingle_set(text: str | None, width: int, seed: int = 42) -> np.ndarray:
+def shingle_set(text: str | None, width: int) -> np.ndarray:
     """The different word shingles of a text: ascending 64-bit hashes, then read as signed."""
-    parts = [np.unique(h) for h in _shingle_hashes(text, width, seed)]
-    return np.unique(np.concatenate(parts)).view(np.int64) if parts else np.empty(0, np.int64)
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    return np.unique(shingle_hashes(word_hashes_of(words), min(width, len(words)))).view(np.int64) if words else np.empty(0, np.int64)
 
 
 def fingerprint_text(text: str | None, width: int = 4, seed: int = 42) -> int:
@@ -203,9 +204,10 @@ def keep_unlike(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     `fingerprint_text`; texts without words, nulls included, are alike. Of rows that share the
     smallest key, one stays. All columns are kept as they are.
 
-    No pair is missed: with the shingles of all texts in one order, sets of that similarity share one
-    among their first n - ceil(percent n / 100) + 1. Only texts that do are compared in full. The order
-    puts shingles that are frequent in a sample last, so that common ones seldom bring texts together.
+    No pair is missed: with the shingles of all texts in one order, sets of that similarity share some
+    among their first n - ceil(percent n / 100) + 1, and how many they share there bounds what they share in all.
+    Only pairs within the bound are compared in full. The order puts shingles that are frequent
+    in a sample last, so that common ones seldom bring texts together.
     """
     rows, row = with_rows(docs)
     order, words = fresh(rows, "_key"), F.col("_words")
@@ -215,10 +217,15 @@ def keep_unlike(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     sketches = durable(made.select(order, "node", "s.*"), "sketches")
     least = sketches.groupBy("same").agg(F.min(F.struct(F.col(order).isNull(), order, "node")).alias("first"))
     least = durable(least.select("first", F.col("first.node").alias("node")), "least")
-    rooted = durable(components(_alike(texts, sketches.join(least.select("node"), "node", "left_semi"), width, percent)), "roots")
+    members = settled(lambda: _members(sketches.join(least.select("node"), "node", "left_semi")), "members")
+    release(sketches)
+    rooted = settled(lambda: components(_alike(texts, members, width, percent)), "roots")
+    release(members)
     named = least.join(rooted, "node", "left")
     first = named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    return rows.join(first.select(F.col("first.node").alias(row)), row, "left_semi").drop(row)
+    kept = durable(first.select(F.col("first.node").alias(row)), "kept")
+    release(least, rooted)
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def _frequent(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -240,56 +247,88 @@ def _sets(text: Column, width: int) -> Column:
 
 
 def _leading(text: Column, width: int, percent: int, hot: tuple[np.ndarray, np.ndarray]) -> Column:
-    """Column struct: a digest of the shingle set, its size, and the first shingles in the common order."""
+    """Column struct: a digest of the shingle set, its size, the first shingles in the common order and where they end."""
     known, often = hot
 
-    @F.pandas_udf("same binary, n int, lead array<long>")
+    @F.pandas_udf("same binary, n int, lead array<long>, last struct<rank:long,hash:long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            same, n, lead = [], [], []
+            same, n, lead, last = [], [], [], []
             for t in batch:
                 found = shingle_set(t, width)
                 size = len(found)
                 same.append(xxhash.xxh3_128_digest(found.tobytes()))
                 n.append(size)
+                rank = np.zeros(size, np.int64)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                     rank = np.where(known[at] == found, often[at], 0)
-                    found = found[np.argsort(rank, kind="stable")]
-                # a copy, as a slice would hold the whole set
-                lead.append(found[: size - -(-percent * size // 100) + 1].copy())
-            yield pd.DataFrame({"same": same, "n": n, "lead": pd.Series(lead, dtype=object)})
+                first = np.lexsort((found, rank))[: size - -(-percent * size // 100) + 1]
+                lead.append(found[first])
+                last.append((int(rank[first[-1]]), int(found[first[-1]])) if size else (0, 0))
+            ends = pd.DataFrame(last, columns=["rank", "hash"]).to_dict("records")
+            yield pd.DataFrame({"same": same, "n": n, "lead": pd.Series(lead, dtype=object), "last": pd.Series(ends, dtype=object)})
 
     return run(text)
 
 
-def _alike(texts: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
-    """Edges (a, b) between similar texts of `sketches` (different sets); their components are those of all links."""
-    leads = sketches.select("node", "n", F.posexplode("lead").alias("at", "key"))
+def _members(sketches: DataFrame) -> DataFrame:
+    """(key, node, n, ahead, last) of each leading shingle that stands in several sets; `ahead` are the shingles before it.
+
+    `rest` is how many shingles of the set follow its leading ones.
+    """
+    leads = sketches.select("node", "n", (F.col("n") - F.size("lead")).alias("rest"), "last", F.posexplode("lead").alias("ahead", "key"))
     busy = durable(leads.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "busy")
-    members = durable(_busy_only(leads, busy).join(busy, "key", "left_semi"), "members")
-    a, b = (members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "at")]) for s in "ab")
-    # what both sets can still share from this place on; the first place a pair shares always passes
-    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    enough = (100 + percent) * rest.cast("long") >= percent * (F.col("n_a") + F.col("n_b")).cast("long")
-    pairs = a.join(b, "key").where(F.col("node_a") < F.col("node_b")).where(enough)
-    pairs = durable(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    near = _busy_only(texts.select(F.col("node").alias("key"), "_words"), nodes)
-    near = durable(near.join(nodes, "key", "left_semi"), "near")
-    # one pair for each text first: most others lie within the classes that these make
-    some = durable(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "some")
-    sure = durable(_confirmed(some, near, width, percent), "sure")
-    rooted = durable(components(sure), "rooted")
-    rest = pairs.join(some, ["a", "b"], "left_anti")
-    for side in "ab":
-        rest = rest.join(rooted.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    return sure.union(_confirmed(rest.where(apart).select("a", "b"), near, width, percent))
+    return _busy_only(leads, busy).join(busy, "key", "left_semi")
+
+
+def _bounded(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b, shared) of the pairs in `met`, one row per leading shingle they share, that can be similar enough.
+
+    A shingle that both hold without leading both follows the leading ones of the set whose leading ones end first.
+    """
+    first = F.col("last_a") <= F.col("last_b")
+    # what both sets still hold from the first place on that they share
+    left = F.least(F.col("n_a") - F.col("ahead_a"), F.col("n_b") - F.col("ahead_b"))
+    pairs = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
+        F.count("*").alias("shared"),
+        F.max(left).cast("long").alias("left"),
+        F.first(F.when(first, F.col("rest_a")).otherwise(F.col("rest_b"))).alias("rest"),
+        F.first(F.col("n_a") + F.col("n_b")).cast("long").alias("both"),
+    )
+    most = F.least("left", F.col("shared") + F.col("rest"))
+    return pairs.where((100 + percent) * most >= percent * F.col("both")).select("a", "b", "shared")
+
+
+def _alike(texts: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Edges (a, b) between similar texts (of different sets); their components are those of all links.
+
+    First each set meets the smallest one under a shared shingle, and of those that it may be similar to
+    the one that shares most: most near copies are linked by these alone. Then all pairs that share
+    a shingle meet, but for those that lie in one component already.
+    """
+
+    def side(frame: DataFrame, s: str) -> DataFrame:
+        return frame.select("key", *[F.col(c).alias(f"{c}_{s}") for c in frame.columns if c != "key"])
+
+    # sets of too different sizes are not similar
+    enough = (100 + percent) * F.least("n_a", "n_b").cast("long") >= percent * (F.col("n_a") + F.col("n_b")).cast("long")
+    facts = ("node", "n", "rest", "last", "ahead")
+    least = members.groupBy("key").agg(F.min(F.struct(*facts)).alias("first")).select("key", "first.*")
+    star = side(least, "a").join(side(members, "b"), "key").where("node_a < node_b").where(enough)
+    star = _bounded(star, percent).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    star = durable(star.select("a", "b"), "star")
+    sure = durable(_confirmed(star, texts, width, percent), "sure")
+    rooted = settled(lambda: components(sure), "rooted")
+    known = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node")).select("key", *facts, "root")
+    met = side(known, "a").join(side(known, "b"), "key").where("node_a < node_b AND root_a <> root_b").where(enough)
+    pairs = durable(_bounded(met, percent).select("a", "b").join(star, ["a", "b"], "left_anti"), "pairs")
+    release(rooted)
+    return sure.union(_confirmed(pairs, texts, width, percent))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts (key, _words) are similar enough, by their whole shingle sets."""
+    """The pairs (a, b) whose texts (node, _words) are similar enough, by their whole shingle sets."""
 
     @F.pandas_udf("boolean")
     def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -301,6 +340,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
                 out.append((100 + percent) * shared >= percent * (len(x) + len(y)))
             yield pd.Series(out, dtype=bool)
 
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("_words").alias("x")), "a")
-    both = both.join(texts.select(F.col("key").alias("b"), F.col("_words").alias("y")), "b")
+    nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    near = _busy_only(texts.select(F.col("node").alias("key"), "_words"), nodes)
+    both = pairs.join(near.select(F.col("key").alias("a"), F.col("_words").alias("x")), "a")
+    both = both.join(near.select(F.col("key").alias("b"), F.col("_words").alias("y")), "b")
     return both.where(similar("x", "y")).select("a", "b")

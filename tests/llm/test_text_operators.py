@@ -42,7 +42,7 @@ def awkward(spark):
     rows = [(i, t, "en" if t else None, "s", len(t or "")) for i, t in enumerate(AWKWARD * 2)]
     rows += [(None, "null id here", "de", None, None), rows[5]]
     extra = spark.createDataFrame(rows, DOCS)
-    for name in ("_row", "_ROW", "position", "rank", "piece", "score", "seq", "a.b", "_made", "key", "fp"):
+    for name in ("_row", "_ROW", "position", "rank", "piece", "score", "seq", "a.b", "_made", "key", "fp", "_gone", "_added", "_lines"):
         extra = extra.withColumn(name, F.lit("kept"))
     return extra
 
