@@ -24,6 +24,37 @@ def hour_key_date(key: str | Column) -> Column:
     )
 
 
+def hour_key_year(key: str | Column) -> Column:
+    c = F.col(key) if isinstance(key, str) else key
+    return F.floor(c / 1_000_000).cast("smallint")
+
+
+def hour_key_day(key: str) -> Column:
+    """yyyyMMdd of an hour key."""
+    return F.expr(f"CAST(`{key}` div 100 AS INT)")
+
+
+def hour_key_hour(key: str | Column) -> Column:
+    c = F.col(key) if isinstance(key, str) else key
+    return (c % 100).cast("tinyint")
+
+
+def day_name(day_of_week: str | Column) -> Column:
+    """Name of a weekday counted from Sunday, 1."""
+    c = F.col(day_of_week) if isinstance(day_of_week, str) else day_of_week
+    sunday = F.lit("1970-01-04").cast("date")
+    return F.date_format(F.date_add(sunday, c.cast("int") - 1), "EEEE")
+
+
+def hour_keys_of_years(key: str, years: Iterable[int]) -> Column:
+    """Whether an hour key lies in one of the years, as ranges that a scan can prune by."""
+    inside, wanted = F.lit(False), set(years)
+    for first in sorted(y for y in wanted if y - 1 not in wanted):
+        last = next(y for y in range(first, max(wanted) + 1) if y + 1 not in wanted)
+        inside = inside | F.col(key).between(first * 1_000_000, last * 1_000_000 + 999_999)
+    return inside
+
+
 def hours_between(later: str, earlier: str) -> Column:
     """Hours from `earlier` to `later` with two decimals, NULL unless later > earlier."""
     seconds = F.unix_timestamp(later) - F.unix_timestamp(earlier)

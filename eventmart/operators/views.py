@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions import vocab as V
 from eventmart.functions.columns import (
+    day_name,
     flag_count,
+    hour_key_date,
+    hour_key_day,
+    hour_key_hour,
+    hour_key_year,
+    hour_keys_of_years,
     ladder,
     mean_2dp,
     mean_fixed,
@@ -23,10 +29,53 @@ def _sums(**names: str) -> list:
     return [F.sum(source).alias(name) for name, source in names.items()]
 
 
+def _bitmap(dates: DataFrame, flag: str | None) -> Column:
+    """The hours of the dimension, and those with the flag, as the one row of a scalar subquery.
+
+    Element 0 is the first day (yyyyMMdd) above 24 empty bits; a long per day number from then on
+    holds 24 bits for its hours and 24 for those flagged. It takes 80 KB a year, whatever the rows
+    that look hours up.
+    """
+    bit = F.expr("shiftleft(1L, CAST(date_key % 100 AS INT))")
+    flagged = F.when(F.col(flag), F.expr("shiftleft(1L, CAST(24 + date_key % 100 AS INT))")) if flag else F.lit(None)
+    days = dates.groupBy(hour_key_day("date_key").alias("day")).agg(
+        F.bit_or(bit).bitwiseOR(F.coalesce(F.bit_or(flagged.cast("long")), F.lit(0))).alias("bits")
+    )
+    listed = days.agg(F.array_sort(F.collect_list(F.struct("day", "bits"))).alias("days"))
+
+    def with_gap(x: Column, i: Column) -> Column:
+        gap = F.get("days", i + 1)["day"] - x["day"] - 1
+        return F.concat(F.array(x["bits"]), F.array_repeat(F.lit(0).cast("long"), F.coalesce(gap, F.lit(0))))
+
+    first = F.array(F.shiftleft(F.get("days", F.lit(0))["day"].cast("long"), 24))
+    return listed.select(F.concat(first, F.flatten(F.transform("days", with_gap)))).scalar()
+
+
+# calendar columns that an hour key tells by itself
+_FROM_KEY = {
+    "year": lambda: hour_key_year("date_key"),
+    "hour": lambda: hour_key_hour("date_key"),
+    "day_of_week": lambda: F.dayofweek(hour_key_date("date_key")).cast("tinyint"),
+    "is_weekend": lambda: F.dayofweek(hour_key_date("date_key")).isin(1, 7),
+}
+
+
 def _dated(activity: DataFrame, dates: DataFrame, *columns: str) -> DataFrame:
-    """Activity with columns of its hour; hours outside the dimension drop out."""
-    own = [c for c in activity.columns if c not in columns]
-    return activity.select(*own).join(dates.select("date_key", *columns), "date_key")
+    """Activity with columns of its hour; hours outside the dimension drop out.
+
+    Nothing is joined: calendar columns are read off the key, and the hours of the dimension and
+    at most one other flag of it are looked up in a bitmap.
+    """
+    flags = [c for c in columns if c not in _FROM_KEY]
+    if len(flags) > 1:
+        raise ValueError(f"one flag at a time, not {flags}")
+    bitmap = _bitmap(dates, flags[0] if flags else None)
+    # a day before the first has a place below 1: none, or one without hours
+    day = hour_key_day("date_key") - F.shiftright(F.get(bitmap, F.lit(0)), 24).cast("int") + 1
+    bits, hour = F.get(bitmap, day), (F.col("date_key") % 100).cast("int")
+    kept = activity.filter(F.getbit(bits, hour) == 1)
+    told = {c: _FROM_KEY[c]() if c in _FROM_KEY else F.getbit(bits, hour + 24) == 1 for c in columns}
+    return kept.withColumns(told)
 
 
 def language_evolution(
@@ -94,9 +143,9 @@ def covid_impact(
     years: Sequence[int] = V.COVID_YEARS,
     flag: str = V.COVID_PERIOD[0],
 ) -> DataFrame:
-    wanted = dates.filter(F.col("year").isin(list(years)))
+    wanted = activity.filter(hour_keys_of_years("date_key", years))
     return (
-        _dated(activity, wanted, "year", "hour", flag, "is_weekend")
+        _dated(wanted, dates, "year", "hour", flag, "is_weekend")
         .groupBy("year", "hour", flag, "is_weekend")
         .agg(
             *_sums(
@@ -273,7 +322,7 @@ def ecosystem_growth(activity: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def hourly_heatmap(activity: DataFrame, dates: DataFrame) -> DataFrame:
-    slots = ("year", "hour", "day_of_week", "day_name")
+    slots = ("year", "hour", "day_of_week")
     return (
         _dated(activity, dates, *slots)
         .groupBy(*slots)
@@ -281,6 +330,7 @@ def hourly_heatmap(activity: DataFrame, dates: DataFrame) -> DataFrame:
             *_sums(total_pushes="total_pushes", total_prs="total_prs_opened"),
             F.count_distinct("repo_key").alias("active_repos"),
         )
+        .withColumn("day_name", day_name("day_of_week"))
     )
 
 

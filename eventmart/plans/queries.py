@@ -1052,12 +1052,21 @@ def _responses(spark, d) -> DataFrame:
 
 @query(
     "conform_metadata",
+    _METADATA.format(description="CASE WHEN p_size > 10 THEN repeat(p_name, 60) ELSE '' END"),
+)
+def conform_metadata(spark, d):
+    return enrich.conform_metadata(_responses(spark, d))
+
+
+@query(
+    "conform_metadata_short",
     _METADATA.format(
         description="CASE WHEN p_size > 10 THEN substr(repeat(p_name, 60), 1, 500) ELSE '' END"
     ),
 )
-def conform_metadata(spark, d):
-    return enrich.conform_metadata(_responses(spark, d))
+def conform_metadata_short(spark, d):
+    """With the limit on descriptions that the option sets."""
+    return enrich.conform_metadata(_responses(spark, d), max_description=500)
 
 
 @query(

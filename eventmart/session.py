@@ -26,6 +26,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # a job of many steps must not hold the shuffle files of those that are done
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # texts can be long: bound what a Python worker holds by bytes, not only by rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 # Settings that a session can only be created with.

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
 from conftest import as_dict
 from pyspark.sql import functions as F
 
+from eventmart.functions import columns
 from eventmart.operators import views
+from eventmart.plans.queries import QUERIES
 
 PUSH = "event_id string, repo_key bigint, contributor_key bigint, date_key int"
 REPO = "repo_key bigint, repo_name string, language string"
@@ -223,3 +226,38 @@ def test_feature_importance_ties(spark):
     got = as_dict(views.ml_feature_importance(frame), "feature_name")
     assert [got[n]["importance_rank"] for n in "abc"] == [1, 1, 3]
     assert got["a"]["importance_pct"] == 40.0
+
+
+def test_hours_are_looked_up_and_not_joined(spark):
+    """Days before, between and after those of the dimension, hours apart, and a flag."""
+    held = [2020010305, 2020010306, 2020022923, 2021123100]
+    dates = spark.createDataFrame([(k, k == 2020010306) for k in held], "date_key int, odd boolean")
+    keys = [*held, 2020010304, 2020010205, 2020010406, 2020030100, 2020022900, 2022010100, 1999123123, 2020010205]
+    activity = spark.createDataFrame([(k, 1) for k in keys] + [(None, 1)], "date_key int, n int")
+    got = views._dated(activity, dates, "year", "hour", "day_of_week", "is_weekend", "odd").collect()
+    assert sorted((r.date_key, r.year, r.hour, r.day_of_week, r.is_weekend, r.odd) for r in got) == [
+        (2020010305, 2020, 5, 6, False, False),
+        (2020010306, 2020, 6, 6, False, True),
+        (2020022923, 2020, 23, 7, True, False),
+        (2021123100, 2021, 0, 6, False, False),
+    ]
+    assert views._dated(activity, dates.limit(0), "year").count() == 0
+    with pytest.raises(ValueError, match="one flag"):
+        views._dated(activity, dates.withColumn("even", F.lit(True)), "odd", "even")
+
+
+def test_year_ranges_of_hour_keys(spark):
+    keys = spark.createDataFrame([(y * 1_000_000 + 123123,) for y in range(2015, 2025)], "k int")
+    for years in ((2017, 2018, 2019, 2021), (2016,), ()):
+        got = keys.filter(columns.hour_keys_of_years("k", years)).collect()
+        assert sorted(r.k // 1_000_000 for r in got) == sorted(years)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["vw_ai_boom", "vw_covid_impact", "vw_pr_lifecycle", "vw_ecosystem_growth", "vw_hourly_heatmap", "vw_contributor_dynamics"],
+)
+def test_views_need_no_exchange_on_the_hour(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(date_key#\d+, \d+\)", plan)
+    assert "date_key" in plan
