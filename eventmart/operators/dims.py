@@ -160,9 +160,11 @@ def attach_keys(
     contributors: DataFrame,
     languages: DataFrame,
     ts_column: str = "created_at",
+    lookup: DataFrame | None = None,
 ) -> DataFrame:
     """Add date_key, repo_key, contributor_key and language_key to an event stream.
 
+    `lookup` is `repo_lookup` made before: bucketed by repo_id as the events are, it joins in place.
     Unknown repositories and contributors keep a NULL key and the default language. The
     date key is computed, not looked up: a lookup could not change it. Both dimensions are
     unique on their natural key by construction, so the joins never multiply events.
@@ -170,7 +172,7 @@ def attach_keys(
     people = contributors.select("actor_id", "contributor_key")
     keyed = (
         events.withColumn("date_key", hour_key(ts_column))
-        .join(repo_lookup(repositories, languages), "repo_id", "left")
+        .join(repo_lookup(repositories, languages) if lookup is None else lookup, "repo_id", "left")
         .join(people, "actor_id", "left")
     )
     return keyed.withColumn(

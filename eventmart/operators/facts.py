@@ -11,6 +11,7 @@ from eventmart import schemas as S
 from eventmart.functions import vocab as V
 from eventmart.functions.columns import hours_between, ladder
 from eventmart.operators.conform import first_per_key
+from eventmart.session import durable
 
 KEYS = ("event_id", "date_key", "repo_key", "contributor_key", "language_key", "year")
 
@@ -149,6 +150,36 @@ def stream_from_facts(
 STREAM_TYPES = (S.PUSH, S.PULL_REQUEST, S.ISSUES, S.WATCH, S.FORK, S.RELEASE)
 
 
+# what facts, activity and features read of keyed events
+_STAGED = (
+    *KEYS,
+    "commit_count",
+    "branch_ref",
+    "action",
+    "state",
+    "is_merged",
+    "additions",
+    "deletions",
+    "changed_files",
+    "pr_id",
+    "review_comments",
+    "pr_created_at",
+    "merged_at",
+    "issue_created_at",
+    "closed_at",
+    "type",
+)
+
+
+def stage_keyed(keyed: DataFrame) -> DataFrame:
+    """Keyed events written once, a folder per type, for all aggregates that start from them.
+
+    Reading, deduplicating and keying the events is then one pass, however many feature sides follow;
+    each reads the folders and columns it needs.
+    """
+    return durable(keyed.select(*_STAGED), "keyed", by=["type"])
+
+
 def stream_from_keyed(keyed: DataFrame) -> DataFrame:
     """Activity stream from one keyed frame that holds all stream types: a single pass.
 

@@ -24,9 +24,11 @@ from eventmart.operators import (
     trends,
     views,
 )
+from eventmart.operators.evaluation import evaluate
 from eventmart.plans import fixtures as X
 from eventmart.plans import oracle as O
 from eventmart.session import configure, durable, work_path
+from eventmart.sources.buckets import write_bucketed
 from eventmart.sources.events import (
     CORRUPT,
     read_events,
@@ -71,6 +73,11 @@ def _activity(spark, d):
     return activity.repo_activity(_stream(spark, d))
 
 
+def _staged(spark, d):
+    keyed = X.keyed(spark, d).withColumns({"pr_id": F.col("object_id"), "review_comments": F.col("remarks")})
+    return facts.stage_keyed(keyed)
+
+
 def _yearly(spark, d):
     return activity.language_yearly(activity.language_yearly_base(_stream(spark, d)))
 
@@ -478,6 +485,21 @@ def attach_keys(spark, d):
     )
 
 
+@query(
+    "attach_keys_bucketed",
+    """SELECT event_id, type, created_at, date_key, repo_id, repo_key, actor_id,
+              contributor_key, language_key FROM keyed""",
+)
+def attach_keys_bucketed(spark, d):
+    """Events and the repository lookup bucketed alike: the key join reads both in place."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    repositories, languages = X.dim_repository(spark, d), X.dim_language(spark, d)
+    names = ("event_id", "type", "created_at", "repo_id", "actor_id")
+    events = write_bucketed(X.conformed(spark, d).select(*names), ["repo_id"], buckets, "events")
+    lookup = write_bucketed(dims.repo_lookup(repositories, languages), ["repo_id"], buckets, "lookup")
+    return dims.attach_keys(events, repositories, X.dim_contributor(spark, d), languages, lookup=lookup)
+
+
 @query("fact_push", "SELECT * FROM fpush")
 def fact_push(spark, d):
     return _fact_push(spark, d)
@@ -863,12 +885,16 @@ def features_lifetime(spark, d):
     return features.lifetime(_activity(spark, d))
 
 
-def _features(spark, d, repositories, hourly):
+def _hourly_of(staged):
+    return durable(activity.repo_activity(facts.stream_from_keyed(staged)), "hourly")
+
+
+def _features(spark, d, repositories, hourly, staged):
     return features.build_features(
         repositories,
         hourly,
-        _fact_push(spark, d),
-        _fact_pr(spark, d),
+        facts.fact_push(staged.filter(F.col("type") == S.PUSH), unique=True),
+        facts.fact_pr(staged.filter(F.col("type") == S.PULL_REQUEST), unique=True),
         X.dim_contributor(spark, d),
         X.BOUNDARY_YEAR,
     )
@@ -876,8 +902,10 @@ def _features(spark, d, repositories, hourly):
 
 @query("features_all", "SELECT * FROM feat")
 def features_all(spark, d):
-    hourly = durable(_activity(spark, d))
-    return _features(spark, d, _labelled(spark, d, hourly), hourly)
+    """All sides from one pass over the events: keyed and staged by type, then read by each."""
+    staged = _staged(spark, d)
+    hourly = _hourly_of(staged)
+    return _features(spark, d, _labelled(spark, d, hourly), hourly, staged)
 
 
 @query("abandonment_labels", "SELECT * FROM labelled")
@@ -902,6 +930,34 @@ def class_weights(spark, d):
     return weighted.select("repo_key", "label", "class_weight")
 
 
+_SCORED = """
+    SELECT label, (repo_key * 37 % 1000) / 1000.0::DOUBLE AS score,
+           CASE WHEN repo_key * 37 % 1000 >= 500 THEN 1 ELSE 0 END AS said FROM labelled"""
+
+
+@query(
+    "evaluation",
+    f"""WITH s AS ({_SCORED}),
+        ranked AS (SELECT *, rank() OVER (ORDER BY score)
+                             + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS place FROM s),
+        n AS (SELECT SUM(label) AS p, COUNT(*) - SUM(label) AS n,
+                     SUM(label * said) AS tp, SUM((1 - label) * said) AS fp,
+                     SUM((1 - label) * (1 - said)) AS tn, SUM(label * (1 - said)) AS fn FROM s)
+        SELECT {O.rnd("(SELECT SUM(place) FROM ranked WHERE label = 1) / (p * n)::DOUBLE - (p + 1) / (2.0 * n)::DOUBLE", 9)} AS area_under_roc,
+               {O.rnd("(p * 2 * tp / (2 * tp + fp + fn)::DOUBLE + n * 2 * tn / (2 * tn + fp + fn)::DOUBLE) / (p + n)", 9)} AS f1,
+               {O.rnd("(tp + tn) / (p + n)::DOUBLE", 9)} AS accuracy,
+               {O.big("tp")} AS true_positives, {O.big("fp")} AS false_positives,
+               {O.big("tn")} AS true_negatives, {O.big("fn")} AS false_negatives FROM n""",
+)
+def evaluation(spark, d):
+    """Area, f1 and accuracy of made-up scores of all labelled repositories, ties included."""
+    points = F.pmod(F.col("repo_key") * 37, F.lit(1000))
+    rows = _labelled(spark, d).select("label", (points / 1000.0).alias("score"), (points >= 500).cast("int").alias("said"))
+    found = evaluate(rows, "score", predicted="said")
+    figures = ("area_under_roc", "f1", "accuracy")
+    return found.select(*[F.round(c, 9).alias(c) for c in figures], *[c for c in found.columns if c not in figures])
+
+
 @query(
     "temporal_split",
     """SELECT repo_key, created_year, CASE WHEN created_year <= 1997 THEN 'train' ELSE 'test' END
@@ -1229,9 +1285,13 @@ def stream_activity(spark, d):
 
 
 def _model_rows(spark, d) -> tuple[DataFrame, DataFrame]:
-    hourly = durable(_activity(spark, d))
+    staged = _staged(spark, d)
+    return _rows_of(spark, d, staged, _hourly_of(staged))
+
+
+def _rows_of(spark, d, staged, hourly) -> tuple[DataFrame, DataFrame]:
     labelled = _labelled(spark, d, hourly)
-    rows = model.training_rows(_features(spark, d, labelled, hourly))
+    rows = model.training_rows(_features(spark, d, labelled, hourly, staged))
     return risk.temporal_split(rows, X.AS_OF_YEAR)
 
 
@@ -1303,8 +1363,10 @@ def feature_importance(spark, d):
 )
 def score_repos(spark, d):
     """Every repository with an age, scored; the tier has to fit its probability and age."""
-    fitted = _trained(spark, d)
-    ready = durable(_features(spark, d, _born(spark, d), _activity(spark, d)))
+    staged = _staged(spark, d)
+    hourly = _hourly_of(staged)
+    fitted = model.train(*_rows_of(spark, d, staged, hourly), trees=(20,), depths=(5,), folds=2)
+    ready = durable(_features(spark, d, _born(spark, d), hourly, staged))
     repositories = X.dim_repository(spark, d)
     scored = model.score(fitted.model, ready, repositories, "200112", X.AS_OF)
     p, young = F.col("abandonment_probability"), F.col("repo_age_days") < V.MIN_AGE_DAYS

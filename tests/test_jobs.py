@@ -324,6 +324,15 @@ CHECKED = (
     "language_trend",
     "mirror_audit",
     "trajectory_clusters",
+    "conform_metadata",
+    "conform_metadata_short",
+    "attach_keys_bucketed",
+    "evaluation",
+    "vw_ai_boom",
+    "vw_covid_impact",
+    "vw_pr_lifecycle",
+    "vw_ecosystem_growth",
+    "vw_hourly_heatmap",
 )
 
 
@@ -347,6 +356,7 @@ def test_every_query_has_sql():
 
 
 EAGER = {
+    "attach_keys_bucketed",
     "table_insert_only",
     "table_upsert",
     "mirror_audit",
@@ -383,6 +393,37 @@ def test_plans_hold_without_broadcasts(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_bucketed_tables_join_in_place(spark):
+    """No exchange on the bucketing key, neither for the join nor for an aggregate on it."""
+    from eventmart.sources.buckets import write_bucketed
+
+    events = write_bucketed(spark.range(1000).selectExpr("id % 90 AS repo_id", "id AS event_id"), ["repo_id"], 4)
+    lookup = write_bucketed(spark.range(80).selectExpr("id AS repo_id", "id * 2 AS repo_key"), ["repo_id"], 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = events.join(lookup, "repo_id", "left").groupBy("repo_id").agg({"repo_key": "sum", "*": "count"})
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 90
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_feature_sides_read_one_staged_pass(spark):
+    """The raw table is not read again: each side scans the folders of its type and the columns it needs."""
+    from eventmart.operators import facts
+    from eventmart.plans import queries
+
+    staged = queries._staged(spark, "/root/testdata/sf0.001")
+    pushes = facts.fact_push(staged.filter("type = 'PushEvent'"), unique=True).select("repo_key", "branch_ref")
+    plan = pushes._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(type" in plan and "PushEvent" in plan
+    assert "ReadSchema: struct<repo_key:bigint,branch_ref:string>" in plan
+    built = queries.features_all(spark, "/root/testdata/sf0.001")
+    assert not any("lineitem" in f for f in built.inputFiles())
+
+
 def test_scans_read_only_the_columns_and_rows_they_need(spark):
     from eventmart.plans.queries import QUERIES
 

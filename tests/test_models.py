@@ -4,10 +4,11 @@ import random
 
 import pytest
 from conftest import as_dict, as_set
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from eventmart.functions import vocab as V
-from eventmart.operators import features, risk, trajectory, trends
+from eventmart.operators import evaluation, features, risk, trajectory, trends
 
 
 @pytest.mark.parametrize(
@@ -273,3 +274,25 @@ def test_feature_join_splits_a_hot_repository(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_evaluation_equals_the_library(spark):
+    """Area with ties, f1 and accuracy against MLlib's evaluators."""
+    rng = random.Random(4)
+    rows = []
+    for _ in range(700):
+        label = int(rng.random() < 0.3)
+        score = min(1.0, max(0.0, round(rng.gauss(0.4 + 0.2 * label, 0.25), 2)))
+        rows.append((float(label), score, float(score >= 0.5)))
+    frame = spark.createDataFrame(rows, "label double, score double, prediction double").repartition(5)
+    got = evaluation.evaluate(frame, "score", predicted="prediction").first()
+    area = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label").evaluate(frame)
+    assert abs(got.area_under_roc - area) < 1e-9
+    for name in ("f1", "accuracy"):
+        known = MulticlassClassificationEvaluator(labelCol="label", metricName=name).evaluate(frame)
+        assert abs(got[name] - known) < 1e-9
+    assert got.true_positives + got.false_negatives == sum(r[0] for r in rows)
+    one_class = evaluation.evaluate(frame.filter("label = 1"), "score", predicted="prediction").first()
+    assert one_class.area_under_roc is None and one_class.false_positives == 0
+    nothing = evaluation.evaluate(frame.limit(0), "score", predicted="prediction").first()
+    assert nothing.area_under_roc is None and nothing.accuracy is None
