@@ -4,7 +4,7 @@ Seeds are the matches of four base patterns. The words around a seed form lexica
 pattern and the identifiers it surrounds are the two sides of a graph that is scored round by
 round: a pattern is as sure as the share of its identifiers that are believed, an identifier
 that is no seed is believed as its patterns are. Patterns that stay sure, and that several
-seeds back, mark identifiers that the base patterns miss.
+seeds or values found in earlier rounds back, mark identifiers that the base patterns miss.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from eventmart.session import durable, settled
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
-SUPPORT = 3  # different seeds that a pattern needs
+SUPPORT = 3  # different believed values that a pattern needs
 SURE = 0.8
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -34,7 +34,9 @@ _DIGIT = re.compile("[0-9]")
 _MARK = re.compile("[0-9@]")
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _EDGE = "\"'.,;:!?()[]{}<>|*#$%&="
-_REACH = 96  # characters around an identifier that its context is read from
+_PLAIN = re.compile(r"[0-9().+-]+")  # what a token of a number in several tokens consists of
+_SPACE = re.compile(r"\s")
+_STEP = 64  # characters looked at first for the words beside a token; doubled until they are found
 
 
 def luhn(digits: str) -> bool:
@@ -82,12 +84,72 @@ def _words(part: str) -> list[str]:
     return [w for x in part.lower().split() if (w := x.strip(_EDGE))]
 
 
-def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a place: the two words before it, and the words on both sides of it."""
-    before = _words(text[max(0, start - _REACH) : start])[-2:]
-    after = _words(text[end : end + _REACH])[:1]
-    out = [f"{before[0]} {before[1]} _"] if len(before) == 2 else []
-    return [*out, f"{before[-1]} _ {after[0]}"] if before and after else out
+class Contexts:
+    """Lexical patterns of places of a text that are asked for in rising order.
+
+    A word is what stands between white space, without punctuation at its edges, however long or
+    far away; in the token of the place itself, the letters next to it. Tokens and the words beside
+    them are looked up once for all places in a token.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.before = self.after = (0, 0, [])  # token's start and end, words beside it
+
+    def _token(self, at: int) -> tuple[int, int]:
+        low = at
+        while low and not self.text[low - 1].isspace():
+            low -= 1
+        space = _SPACE.search(self.text, at)
+        return low, space.start() if space else len(self.text)
+
+    def _words_before(self, at: int) -> list[str]:
+        step = _STEP
+        while True:
+            low = max(0, at - step)
+            if low:  # the first word may be cut
+                space = _SPACE.search(self.text, low, at)
+                words = _words(self.text[space.start() : at]) if space else []
+            else:
+                words = _words(self.text[:at])
+            if len(words) >= 2 or not low:
+                return words[-2:]
+            step *= 2
+
+    def _word_after(self, at: int) -> list[str]:
+        step = _STEP
+        while True:
+            part = self.text[at : at + step]
+            words = _words(part)
+            if at + step >= len(self.text) or len(words) > 1 or words and part[-1].isspace():
+                return words[:1]
+            step *= 2
+
+    def of(self, start: int, end: int) -> list[str]:
+        """The two words before a place, and the words on both sides of it."""
+        text = self.text
+        if not self.before[0] <= start < self.before[1]:
+            low, high = self._token(start)
+            self.before = low, high, self._words_before(low)
+        if not self.after[0] <= end - 1 < self.after[1]:
+            low, high = self._token(end - 1)
+            self.after = low, high, self._word_after(high)
+        i = start
+        while i > self.before[0] and text[i - 1] in _EDGE:
+            i -= 1
+        j = i
+        while j > self.before[0] and text[j - 1].isalpha():
+            j -= 1
+        before = [*self.before[2], text[j:i].lower()][-2:] if j < i else self.before[2]
+        i = end
+        while i < self.after[1] and text[i] in _EDGE:
+            i += 1
+        j = i
+        while j < self.after[1] and text[j].isalpha():
+            j += 1
+        after = [text[i:j].lower()] if i < j else self.after[2]
+        out = [f"{before[0]} {before[1]} _"] if len(before) == 2 else []
+        return [*out, f"{before[-1]} _ {after[0]}"] if before and after else out
 
 
 def shapes(token: str) -> list[int]:
@@ -101,28 +163,52 @@ def shapes(token: str) -> list[int]:
 def scan(text: str | None) -> tuple[list, list]:
     """Base spans, and the candidates around which contexts are learned or applied.
 
-    A candidate is (kind or -1, start, end, value, contexts, shapes): each base span, and each
-    token with a digit or @ that touches none.
+    A candidate is (kind or -1, start, end, value, contexts, shapes): each base span, each token
+    with a digit or @ that touches none, and each number of 7 to 19 digits that is written in
+    several such tokens, as one.
     """
     text = text or ""
     base = base_spans(text)
-    seen = [(k, a, b, text[a:b].lower(), contexts(text, a, b), []) for k, a, b in base]
+    seen, by_kind = [], [Contexts(text) for _ in KINDS]
+    for k, a, b in base:
+        seen.append((k, a, b, text[a:b].lower(), by_kind[k].of(a, b), []))
     if _MARK.search(text):
-        taken = sorted((a, b) for _, a, b in base)
-        i, reach = 0, -1
-        for m in _TOKEN.finditer(text):
-            whole = m.group()
-            a = m.start() + len(whole) - len(whole.lstrip(_EDGE))
-            b = a + len(whole.strip(_EDGE))
-            while i < len(taken) and taken[i][0] < m.end():
-                reach = max(reach, taken[i][1])
-                i += 1
-            kinds = shapes(text[a:b])
-            if reach <= m.start() and a < b:
-                seen.append((-1, a, b, text[a:b].lower(), contexts(text, a, b), kinds))
+        places = Contexts(text)
+        for a, b in _candidates(text, sorted((a, b) for _, a, b in base)):
+            seen.append((-1, a, b, text[a:b].lower(), places.of(a, b), shapes(text[a:b])))
     return base, seen
 
 
+def _candidates(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    i, reach = 0, -1
+    run, digits, run_end = [], 0, -1
+    for m in _TOKEN.finditer(text):
+        whole = m.group()
+        a = m.start() + len(whole) - len(whole.lstrip(_EDGE))
+        b = a + len(whole.strip(_EDGE))
+        while i < len(taken) and taken[i][0] < m.end():
+            reach = max(reach, taken[i][1])
+            i += 1
+        if reach > m.start() or a >= b:
+            continue
+        plain = _PLAIN.fullmatch(text, a, b) is not None
+        # one space, or brackets and one space, join two tokens of a number
+        if not (plain and run and text[run_end : a].strip("()") == " "):
+            yield from _joined(run, digits)
+            run, digits = [], 0
+        if plain:
+            run.append((a, b))
+            digits += sum(c in "0123456789" for c in text[a:b])
+            run_end = b
+        else:
+            yield a, b
+    yield from _joined(run, digits)
+
+
+def _joined(run: list[tuple[int, int]], digits: int) -> list[tuple[int, int]]:
+    return [(run[0][0], run[-1][1])] if len(run) > 1 and 7 <= digits <= 19 else run
+
+
 _SPAN = "kind int, start long, end long"
 _FOUND = f"base array<struct<{_SPAN}>>, seen array<struct<{_SPAN}, value string, contexts array<string>, shapes array<int>>>"
 
@@ -138,26 +224,30 @@ def score_patterns(seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT
 
     sureness = sum of belief over the pattern's different values / (number of values + 0.5). A
     seed is believed 1 for its kind; other values 1 - prod(1 - sureness) over their patterns of the
-    last round. Edges are distinct (pattern, value) pairs, combined before every shuffle.
+    last round, for the kinds whose shape they have. A pattern is scored for a kind while at least
+    `support` different values are believed to `sure`, be they seeds or found in a round before.
+    Edges are distinct (pattern, value) pairs, combined before every shuffle.
     """
-    pairs = seen.select(F.explode("contexts").alias("pattern"), "value", "kind")
+    pairs = seen.select(F.explode("contexts").alias("pattern"), "value", "kind", "shapes")
     seeds = durable(pairs.where("kind >= 0").select("value", "kind").distinct(), "seeds")
-    # a pattern that no seed shows can gain nothing in the first round, and in later ones it has too
-    # little support: only the patterns with enough different seeds are scored
-    backed = pairs.where("kind >= 0").distinct().groupBy("pattern", "kind").agg(F.count("*").alias("backing"))
-    backed = durable(backed.where(F.col("backing") >= support), "backed")
-    edges = durable(pairs.select("pattern", "value").join(backed.select("pattern").distinct(), "pattern", "left_semi").distinct(), "graph")
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    belief = seeds.withColumn("belief", F.lit(1.0))
+    edges = durable(pairs.select("pattern", "value").distinct(), "graph")
+    sizes = durable(edges.groupBy("pattern").agg(F.count("*").alias("n")), "sizes")
+    # a value of no shape can never be believed
+    others = pairs.where((F.col("kind") < 0) & (F.size("shapes") > 0)).select("pattern", "value", "shapes").distinct()
+    others = durable(others.join(seeds.select("value").distinct(), "value", "left_anti"), "others")
+    belief = sure_of_seeds = seeds.withColumn("belief", F.lit(1.0))
     scored = None
     for _ in range(rounds):
-        sums = edges.join(belief, "value").groupBy("pattern", "kind").agg(F.sum(F.col("belief").cast("decimal(28,12)")).alias("sum"))
-        scored = sums.join(sizes, "pattern").select("pattern", "kind", (F.col("sum").cast("double") / (F.col("n") + 0.5)).alias("sureness"))
-        scored = durable(scored.join(backed.select("pattern", "kind"), ["pattern", "kind"]), "scored")
+        sums = edges.join(belief, "value").groupBy("pattern", "kind").agg(
+            F.sum(F.col("belief").cast("decimal(28,12)")).alias("sum"), F.count_if(F.col("belief") >= sure).alias("backing")
+        )
+        sums = sums.where(F.col("backing") >= support).join(sizes, "pattern")
+        scored = sums.select("pattern", "kind", (F.col("sum").cast("double") / (F.col("n") + 0.5)).alias("sureness"))
+        scored = durable(scored, "scored")
         doubt = F.log1p(-F.col("sureness")).cast("decimal(28,12)")
-        others = edges.join(seeds.select("value").distinct(), "value", "left_anti")
-        gained = others.join(scored, "pattern").groupBy("value", "kind").agg((1 - F.exp(F.sum(doubt).cast("double"))).alias("belief"))
-        belief = seeds.withColumn("belief", F.lit(1.0)).unionByName(gained)
+        gained = others.join(scored, "pattern").where(F.array_contains("shapes", F.col("kind")))
+        gained = gained.groupBy("value", "kind").agg((1 - F.exp(F.sum(doubt).cast("double"))).alias("belief"))
+        belief = sure_of_seeds.unionByName(gained)
     return scored.where(F.col("sureness") >= sure)
 
 
