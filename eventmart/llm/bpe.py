@@ -8,7 +8,8 @@ encodes each once and puts the texts together from the results.
 
 In long words one step contracts all disjoint places of the lowest-ranked pair, counted from the
 left. A merge only creates pairs of higher rank, so that equals contracting them one by one, and
-a long run of one character takes logarithmically many steps.
+a long run of one character takes logarithmically many steps. Before that a long word is cut where
+two bytes meet that no token holds side by side, as no merge can cross such a place.
 """
 
 from __future__ import annotations
@@ -99,6 +100,8 @@ class WordEncoder:
     def __init__(self, data: bytes):
         self.ranks = read_ranks(data)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.neighbours = np.zeros(1 << 16, bool)  # pairs of bytes that stand side by side in a token
+        self.neighbours[[a * 256 + b for t in self.ranks for a, b in zip(t, t[1:])]] = True
         pairs = [
             (self.ranks[t[:i]], self.ranks[t[i:]], rank)
             for t, rank in self.ranks.items()
@@ -122,24 +125,49 @@ class WordEncoder:
 
     def learn(self, words: list[str]) -> None:
         """Encode new words and remember them."""
-        chunk, size = [], 0
+        whole, plain, parts = [], [], {}
         for word in words:
             data = word.encode()
-            if (rank := self.ranks.get(data)) is not None:  # a whole token is never merged on
-                self.known[word] = (1, str(rank), data)
-                continue
+            if data in self.ranks:  # a whole token is never merged on
+                whole.append((word, data))
+            elif len(data) <= SHORT:
+                plain.append((word, data))
+            else:
+                parts[word] = self._independent(data)
+        if whole:
+            tokens = np.array([self.ranks[d] for _, d in whole], np.int32)
+            places = np.arange(len(whole), dtype=np.int32)
+            self._store("done", {"word": pa.array(places), "pos": pa.array(np.zeros_like(places)), "tok": pa.array(tokens)})
+            self._read(whole, self.known)
+        self._in_chunks(plain, self.known)
+        found: dict[bytes, tuple[int, str, bytes]] = {}
+        self._in_chunks([(p, p) for p in sorted({p for own in parts.values() for p in own})], found)
+        for word, own in parts.items():
+            n, ids, data = zip(*map(found.__getitem__, own), strict=True)
+            self.known[word] = (sum(n), ",".join(ids), b"".join(data))
+
+    def _independent(self, data: bytes) -> list[bytes]:
+        """Parts of a long word between which nothing can merge: no token holds the two bytes at a cut."""
+        codes = np.frombuffer(data, np.uint8).astype(np.int32)
+        cuts = np.flatnonzero(~self.neighbours[codes[:-1] * 256 + codes[1:]]) + 1
+        ends = [0, *cuts.tolist(), len(data)]
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _in_chunks(self, given: list[tuple], into: dict) -> None:
+        chunk, size = [], 0
+        for key, data in given:
             if len(data) > SHORT:
-                self._encode([(word, data)])
+                self._encode([(key, data)], into)
                 continue
-            chunk.append((word, data))
+            chunk.append((key, data))
             size += len(data)
             if size >= ROWS:
-                self._encode(chunk)
+                self._encode(chunk, into)
                 chunk, size = [], 0
         if chunk:
-            self._encode(chunk)
+            self._encode(chunk, into)
 
-    def _encode(self, chunk: list[tuple[str, bytes]]) -> None:
+    def _encode(self, chunk: list[tuple], into: dict | None = None) -> None:
         lengths = np.array([len(d) for _, d in chunk])
         tokens = self.byte_ids[np.frombuffer(b"".join(d for _, d in chunk), np.uint8)]
         word = np.repeat(np.arange(len(chunk), dtype=np.int32), lengths)
@@ -150,8 +178,11 @@ class WordEncoder:
             self.db.execute(f"CREATE OR REPLACE TABLE done AS {_SHORT}")
         else:
             self._contract_long()
+        self._read(chunk, self.known if into is None else into)
+
+    def _read(self, chunk: list[tuple], into: dict) -> None:
         for at, n, ids, text in self.db.execute(_READ).fetchall():
-            self.known[chunk[at][0]] = (n, ids, bytes.fromhex(text))
+            into[chunk[at][0]] = (n, ids, bytes.fromhex(text))
 
     def _contract_long(self) -> None:
         self.db.execute("CREATE OR REPLACE TABLE done (word INT, pos INT, tok INT)")
