@@ -9,6 +9,7 @@ assignment of rows to (shard, slot) is equally likely, and shard sizes differ by
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -58,6 +59,12 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray
     return matrix
 
 
+def deal_out(ends: np.ndarray, seed: int, part: int) -> np.ndarray:
+    """The shard of each row of a partition; `ends` are the running sums of its row of the matrix."""
+    place = np.random.default_rng([seed, 1, part]).permutation(int(ends[-1]))
+    return np.searchsorted(ends, place, side="right").astype(np.int32)
+
+
 def shuffle_into_shards(frame: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """Adds `shard` (0..shards-1) and `slot` (gapless from 0 in each shard) to all rows.
 
@@ -80,16 +87,19 @@ def shuffle_into_shards(frame: DataFrame, shards: int, seed: int = 0) -> DataFra
     )
 
     @F.pandas_udf("int")
-    def shard_of(at: pd.Series, ends: pd.Series) -> pd.Series:
-        out = np.empty(len(at), np.int32)
-        parts = at.to_numpy() >> _PART_BITS
-        within = at.to_numpy() & ((1 << _PART_BITS) - 1)
-        for p in np.unique(parts):
-            own = np.flatnonzero(parts == p)
-            end = np.asarray(ends.iloc[own[0]])
-            place = np.random.default_rng([seed, 1, int(p)]).permutation(int(end[-1]))
-            out[own] = np.searchsorted(end, place[within[own]], side="right")
-        return pd.Series(out)
+    def shard_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        # rows of one input partition follow one another: each is permuted once, not once a batch
+        held, dealt_to = -1, np.zeros(0, np.int32)
+        for at, ends in batches:
+            out = np.empty(len(at), np.int32)
+            parts = at.to_numpy() >> _PART_BITS
+            within = at.to_numpy() & ((1 << _PART_BITS) - 1)
+            for p in np.unique(parts):
+                own = np.flatnonzero(parts == p)
+                if p != held:
+                    held, dealt_to = p, deal_out(np.asarray(ends.iloc[own[0]]), seed, int(p))
+                out[own] = dealt_to[within[own]]
+            yield pd.Series(out)
 
     # one row per input partition; the join leaves broadcasting to Spark's size check
     dealt = rows.withColumn(part_name, part).join(deal, part_name)
