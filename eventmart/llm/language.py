@@ -22,7 +22,7 @@ from eventmart.llm.common import col
 
 ORDERS = (1, 2, 3, 4)
 BITS = 15
-SLICE = 1 << 19  # characters hashed at a time; n-grams do not cross such a slice of a text
+SLICE = 1 << 19  # characters hashed at a time; the last ones of a slice are carried into the next
 UNKNOWN = "und"
 
 
@@ -35,20 +35,25 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
-    """Groups of (text number, piece) of bounded length in total."""
+def _slices(texts: list[str]) -> Iterator[tuple[list[int], list[str], bool]]:
+    """Groups of (text number, piece) of bounded length, and whether the last text goes on in the next.
+
+    A space ends every text. A full slice ends its group, so a text goes on in the first piece only.
+    """
     owners, pieces, size = [], [], 0
     for i, text in enumerate(texts):
+        text = text.lower()
         for at in range(0, len(text), SLICE):
-            piece = text[at : at + SLICE].lower()
+            piece = text[at : at + SLICE]
+            goes_on = at + SLICE < len(text)
             owners.append(i)
-            pieces.append(piece)
+            pieces.append(piece if goes_on else piece + " ")
             size += len(piece) + 1
             if size >= SLICE:
-                yield owners, pieces
+                yield owners, pieces, goes_on
                 owners, pieces, size = [], [], 0
     if pieces:
-        yield owners, pieces
+        yield owners, pieces, False
 
 
 def hashed_ngrams(texts: list[str], bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -56,15 +61,22 @@ def hashed_ngrams(texts: list[str], bits: int = BITS) -> Iterator[tuple[np.ndarr
 
     Letters are lower-cased; a run of other characters counts as one space after a word.
     """
-    for owners, pieces in _slices(texts):
-        points = np.frombuffer((" ".join(pieces) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-        owner = np.repeat(np.arange(len(pieces)), [len(p) + 1 for p in pieces])
+    carried = np.zeros(0, np.uint32)
+    for owners, pieces, goes_on in _slices(texts):
+        fresh = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = np.concatenate([carried, fresh])
+        lengths = np.array([len(p) for p in pieces])
+        lengths[0] += len(carried)
+        owner = np.repeat(np.arange(len(pieces)), lengths)
         letter = _letters()[points]
         keep = letter.copy()
         keep[1:] |= letter[:-1] & (owner[1:] == owner[:-1])
         points = np.where(letter, points, np.uint32(32))[keep]
         owner = owner[keep]
         number = np.asarray(owners)
+        old = int(keep[: len(carried)].sum())  # n-grams that end before here were counted
+        # one more than an n-gram needs: a leading space has no word before it and goes
+        carried = points[-max(ORDERS) :][owner[-max(ORDERS) :] == len(pieces) - 1] if goes_on else carried[:0]
         hashes = np.zeros(len(points), np.uint32)
         for n in range(1, max(ORDERS) + 1):
             if len(points) < n:
@@ -73,6 +85,7 @@ def hashed_ngrams(texts: list[str], bits: int = BITS) -> Iterator[tuple[np.ndarr
             hashes = (hashes[: len(tail)] + tail + np.uint32(n)) * np.uint32(0x9E3779B1)
             if n in ORDERS:
                 whole = owner[: len(tail)] == owner[n - 1 :]
+                whole[: max(0, old - n + 1)] = False
                 mixed = (hashes ^ (hashes >> np.uint32(15))) * np.uint32(0x85EBCA77)
                 bucket = (mixed >> np.uint32(32 - bits)).astype(np.int64)
                 yield bucket[whole], number[owner[n - 1 :][whole]]
