@@ -18,7 +18,7 @@ def whole_vectors(frame: DataFrame, key: str, vector: str) -> DataFrame:
     """(id long, vector array<double>) of the rows whose vector takes part in a search.
 
     Vectors that are null or hold null, NaN or infinite components do not; neither do empty
-    ones and rows without an id. All vectors must have the same length.
+    ones and rows without an id. Searches refuse vectors of several lengths (`one_length`).
     """
     rows = frame.select(col(key).cast("long").alias("id"), col(vector).cast("array<double>").alias("vector"))
     inf = float("inf")
@@ -29,6 +29,12 @@ def whole_vectors(frame: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & (F.size("vector") > 0)).where(F.forall("vector", finite))
 
 
+def one_length(least: int, most: int) -> None:
+    """No inner product is defined between vectors of different lengths."""
+    if least != most:
+        raise ValueError(f"vectors of {least} to {most} components: all must have the same length")
+
+
 def pack_blocks(frame: DataFrame, block: Column, dtype: str) -> DataFrame:
     """One row per block of (id, position, vector) rows; `block` must bound the rows of a block."""
 

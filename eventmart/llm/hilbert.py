@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.blocks import best_per_query, pack_blocks, unpack, whole_vectors
+from eventmart.llm.blocks import best_per_query, one_length, pack_blocks, unpack, whole_vectors
 from eventmart.llm.common import with_positions
 from eventmart.session import durable
 
@@ -161,12 +161,14 @@ def nearest(
     side of a query in every ordering. Vectors that are null, zero or hold null or non-finite
     components take no part; rows with the query's own id are no candidates, and a repeated
     (id, vector) row counts once. An id may have several vectors; each is searched and found.
+    Vectors of several lengths are an error.
     """
     rows = whole_vectors(frame, key, vector).where(F.exists("vector", lambda x: x != 0))
     points = durable(_classes(rows, k), "classes")
-    total, width = points.agg(F.count("*"), F.max(F.size("vector"))).first()
+    total, least, width = points.agg(F.count("*"), F.min(F.size("vector")), F.max(F.size("vector"))).first()
     if not total:
         return frame.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    one_length(least, width)
     asked = rows.where(is_query).distinct().join(points.select("vector", F.col("id").alias("class")), "vector")
     asked = durable(asked.select(F.col("id").alias("query_id"), "class"), "asked")
     keyed = _keys(points.select("id", "vector"), width, orderings, dims, bits, seed)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.blocks import best_per_query, pack_blocks, unpack, whole_vectors
+from eventmart.llm.blocks import best_per_query, one_length, pack_blocks, unpack, whole_vectors
 from eventmart.llm.common import with_positions
 from eventmart.session import durable
 
@@ -26,7 +26,13 @@ FOUND = "query_id long, vec_id long, score long"
 def integer_vectors(frame: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     """(id, vector) with floor(scale * x) for each component x, x as double."""
     rows = whole_vectors(frame, key, vector)
-    return rows.select("id", F.transform("vector", lambda x: F.floor(x * F.lit(float(scale))).cast("double")).alias("vector"))
+
+    def floored(x: Column) -> Column:
+        scaled = x * F.lit(float(scale))
+        # doubles from 2**53 on are whole, and the longs that floor gives would end at 2**63
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    return rows.select("id", F.transform("vector", floored).alias("vector"))
 
 
 def _signs(vector: Column) -> Column:
@@ -80,13 +86,16 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     `vectors` has (id long, vector array<double> of whole numbers); `is_query` is over id. Rows
     with the query's own id are no candidates; other repeated rows each count. Of several query
     rows with one id the smallest vector is used. Fewer candidates than k are all returned; no
-    queries or no rows give an empty result. Scores beyond 64 bits are an error.
+    queries or no rows give an empty result. Scores beyond 64 bits and vectors of several lengths
+    are errors.
     """
     spark = vectors.sparkSession
     ordered = with_positions(vectors.select("id", "vector", _signs(F.col("vector")).alias("signs")), ["signs", "id"])
-    largest, total, width = ordered.agg(F.max(F.array_max(F.transform("vector", F.abs))), F.count("*"), F.max(F.size("vector"))).first()
+    largest = F.max(F.array_max(F.transform("vector", F.abs)))
+    largest, total, least, width = ordered.agg(largest, F.count("*"), F.min(F.size("vector")), F.max(F.size("vector"))).first()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    one_length(least, width)
     dtype = "<i2" if largest < 2**15 else "<i4" if largest < 2**31 else "<f8"
     exact = largest * largest * width < 2**53
     asked = ordered.where(is_query).groupBy("id").agg(F.min("vector").alias("vector"))
