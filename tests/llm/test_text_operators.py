@@ -120,6 +120,18 @@ def test_language_edge_cases(spark, awkward, nothing):
     assert nothing.select(language.predict(nothing, model).alias("g")).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 50])
+def test_language_counts_ngrams_across_slices(monkeypatch, texts, size):
+    some = [t for t in [*list(texts.values())[:5], *AWKWARD[3:7], " .a. b", "ab  \n c d"] if t]
+    want = [_grams(t) for t in some]
+    monkeypatch.setattr(language, "SLICE", size)
+    got = [Counter() for _ in some]
+    for buckets, owners in language.hashed_ngrams(some):
+        for b, i in zip(buckets.tolist(), owners.tolist(), strict=True):
+            got[i][b] += 1
+    assert got == want
+
+
 def test_language_score_does_not_depend_on_neighbours(spark, docs):
     model = language.fit(docs)
     some = [r.text for r in docs.limit(20).collect()]
@@ -175,6 +187,26 @@ def test_bpe_edge_cases(spark, awkward, nothing):
     assert nothing.select(bpe.round_trip(spark, "text", MULTI)).count() == 0
 
 
+def test_bpe_long_words_equal_tiktoken():
+    rng = np.random.default_rng(4)
+    data = bpe.vocabulary_bytes(MULTI)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(data), special_tokens={})
+    encoder = bpe.WordEncoder(data)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in (256, 3000, 200_000)]
+    words += ["".join(map(chr, rng.integers(0x4E00, 0x9000, 2000))), "a" * 3000, "the" * 700, "etaoin" * 300 + "qxzj" * 50, "the"]
+    encoder.learn(words)
+    for word in words:
+        n, ids, back = encoder.known[word]
+        assert list(map(int, ids.split(","))) == own.encode_ordinary(word) and n == ids.count(",") + 1 and back == word.encode()
+
+
+def test_bpe_decodes_whole_tokens_from_their_ids():
+    encoder = bpe.WordEncoder(bpe.vocabulary_bytes(MULTI))
+    encoder.db.execute("UPDATE vocabulary SET hex = '21' WHERE id = ?", [encoder.ranks[b" the"]])
+    encoder.learn([" the"])
+    assert encoder.known[" the"] == (1, str(encoder.ranks[b" the"]), b"!")
+
+
 def test_bpe_tokens_encode_to_themselves():
     """The merge table can reach every token: what contracting all places of one rank at once rests on."""
     encoder = bpe.WordEncoder(bpe.vocabulary_bytes(MULTI))
@@ -406,6 +438,69 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert clean[0] == "Please write to mail [EMAIL] today or call me at [PHONE] soon"
 
 
+def test_numbers_in_several_tokens_are_candidates(spark):
+    rows = [(i, f"Please call me at +1 555 010 {1000 + i} soon") for i in range(4)]
+    rows += [(10, "just call me at 020 7946 0958, soon"), (11, "just call me at (555) 123-4567 soon"), (12, "sizes 020 7946 0958 of parts")]
+    got = {r.doc_id: r.spans_text for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[10] == "phone:16:29" and got[11] == "phone:17:30" and got[12] == ""
+
+
+@pytest.mark.parametrize("fill", [" ", " " * 300, " *** " * 100])
+def test_contexts_take_words_of_any_length_and_distance(fill):
+    word = "w" * 500
+    text = f"first {word}{fill}x@y{fill}{word} last"
+    at = text.index("x@y")
+    assert pii.Contexts(text).of(at, at + 3) == [f"first {word} _", f"{word} _ {word}"]
+    chained = "mail:a@b.co,c@d.co next"
+    places = pii.Contexts(chained)
+    assert places.of(5, 11) == ["mail _ c"] and places.of(12, 18) == ["co _ next"]
+
+
+def test_context_of_many_spans_in_one_token_is_linear():
+    text = "a@b.co," * 100_000
+    assert len(pii.scan(text)[1]) == 100_000
+
+
+def _scored(seen, rounds, support, sure):
+    """score_patterns written with dictionaries."""
+    edges, seeds, shaped = {}, {}, {}
+    for kind, _, _, value, patterns, shapes in seen:
+        for p in patterns:
+            edges.setdefault(p, set()).add(value)
+        if patterns and kind >= 0:
+            seeds.setdefault(value, set()).add(kind)
+        shaped.setdefault(value, set()).update(shapes)
+    belief = {(v, k): 1.0 for v, ks in seeds.items() for k in ks}
+    for _ in range(rounds):
+        scored = {}
+        for p, values in edges.items():
+            for k in range(4):
+                own = [belief[v, k] for v in values if (v, k) in belief]
+                if sum(b >= sure for b in own) >= support:
+                    scored[p, k] = sum(own) / (len(values) + 0.5)
+        doubt = {}
+        for (p, k), s in scored.items():
+            for v in edges[p]:
+                if v not in seeds and k in shaped[v]:
+                    doubt[v, k] = doubt.get((v, k), 1.0) * (1 - s)
+        belief = {(v, k): 1.0 for v, ks in seeds.items() for k in ks} | {x: 1 - d for x, d in doubt.items()}
+    return {x: s for x, s in scored.items() if s >= sure}
+
+
+def test_found_values_back_patterns_as_in_plain_scoring(spark, texts):
+    made = [f"you may call me at +1 555 010 {1000 + i} soon" for i in range(30)]
+    # found by the contexts above, and the only ones with a context of their own
+    made += [f"you may call me at 555-0199-{8000 + i} soon" for i in range(10)]
+    made += [f"my desk line 555-0199-{8000 + i} works" for i in range(10)] + ["my desk line 555-7777-1234 works", "a desk line 2024 works"]
+    seen = [s for t in [*made, *texts.values()] for s in pii.scan(t)[1]]
+    frame = spark.createDataFrame(seen, "kind int, start long, end long, value string, contexts array<string>, shapes array<int>")
+    for rounds in (1, 2, 3):
+        want = _scored(seen, rounds, pii.SUPPORT, 0.7)
+        got = {(r.pattern, r.kind): r.sureness for r in pii.score_patterns(frame, rounds, sure=0.7).collect()}
+        assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], abs=1e-9) for x in want)
+        assert (("desk line _", 3) in got) == (rounds > 1)
+
+
 def test_personal_data_edge_cases(spark, awkward, nothing):
     found = pii.find(awkward).collect()
     assert len(found) == len(AWKWARD) * 2 + 2 and all(r.spans_text == "" for r in found)

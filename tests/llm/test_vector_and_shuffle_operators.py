@@ -126,9 +126,34 @@ def test_hilbert_recall(spark):
     assert hits / total >= 0.92
 
 
+def test_searches_refuse_vectors_of_several_lengths(spark):
+    ragged = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0]), (20, [3.0, 4.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="same length"):
+        hilbert.nearest(ragged, F.col("id") % 20 == 0, 2)
+    with pytest.raises(ValueError, match="same length"):
+        topk.exact_top_k(topk.integer_vectors(ragged, "vec_id", "embedding", 64), F.col("id") % 20 == 0, 2)
+
+
+def test_integer_vectors_do_not_end_at_longs(spark):
+    rows = [(0, [1e18, -1e300]), (1, [0.99, -0.01])]
+    made = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", 64)
+    got = {r.id: r.vector for r in made.collect()}
+    assert got == {0: [64e18, -64e300], 1: [63.0, -1.0]}
+
+
 # ---- sharding
 
 
+def test_shards_do_not_depend_on_the_batches_of_a_worker(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    frame, before, got = spark.range(0, 3000, 1, 3), spark.conf.get(name), []
+    for size in (7, 10_000):
+        spark.conf.set(name, size)
+        got.append(sorted(sharding.shuffle_into_shards(frame, 5, seed=3).collect()))
+    spark.conf.set(name, before)
+    assert got[0] == got[1]
+
+
 def test_hypergeometric_follows_its_law():
     rng = np.random.default_rng(4)
     good, bad, n = 12, 20, 9
