@@ -1061,6 +1061,17 @@ def read_events_query(spark, d):
     return conform.conform(raw, X.EARLIEST, _ALWAYS).drop("payload", "source_file")
 
 
+@query("source_files", "SELECT year AS folder_year, COUNT(*) AS n_events, 0 AS n_elsewhere FROM ev GROUP BY 1")
+def source_files(spark, d):
+    """Conformed events by the year in the name of their source file, and those of another year there."""
+    raw = read_events(spark, _raw_files(spark, d, X.unique_events(spark, d)), "*.gz")
+    rows = conform.conform(raw, X.EARLIEST, _ALWAYS)
+    folder = F.regexp_extract("source_file", r"/year=(\d+)/", 1).cast("smallint")
+    return rows.groupBy(folder.alias("folder_year")).agg(
+        F.count("*").alias("n_events"), F.count_if(F.col("year") != folder).cast("int").alias("n_elsewhere")
+    )
+
+
 @query(
     "slim_events",
     """SELECT event_id AS id, type, false AS has_extra,
@@ -1165,6 +1176,31 @@ def table_insert_only(spark, d):
     return table.read()
 
 
+@query(
+    "table_insert_filtered",
+    f"""SELECT *, CAST(NULL AS VARCHAR) AS status FROM ({_TARGET}) UNION ALL
+        SELECT * FROM ({_BATCH}) b
+        WHERE NOT EXISTS (SELECT 1 FROM ({_TARGET}) t WHERE t.o_orderkey = b.o_orderkey)""",
+)
+def table_insert_filtered(spark, d):
+    """The batch inserted twice behind a filter of ids so small that it has false hits."""
+    table, batch = _written_target(spark, d)
+    for _ in range(2):
+        table.insert_only(batch, ["o_orderkey"], fixed=True, filtered=True, blocks=1)
+    return table.read()
+
+
+@query("table_history", f"SELECT *, 1 AS run FROM ({_TARGET}) UNION ALL SELECT *, 2 AS run FROM ({_TARGET})")
+def table_history(spark, d):
+    """Two runs appended to a history that reads as empty while it is missing."""
+    target, _ = _merge_sides(spark, d)
+    table = Table(spark, work_path(spark, "tables"), "history")
+    missing = table.read_or_empty("o_orderkey bigint, year smallint, price double, run int")
+    for run in (1, 2):
+        table.append(target.withColumn("run", F.lit(run)))
+    return missing.unionByName(table.read())
+
+
 @query(
     "table_upsert",
     f"""SELECT * FROM ({_BATCH}) UNION ALL
