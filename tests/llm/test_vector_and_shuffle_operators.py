@@ -61,7 +61,7 @@ def test_exact_top_k_equals_brute_force(spark, awkward, monkeypatch):
     rows = _taking_part(awkward, zero=True)
     want = _best(rows, lambda a, b: int(_whole(a) @ _whole(b)), 20)
     for size in (7, 512):  # many blocks, spans and query groups; one of each
-        for name, value in (("ROWS", size), ("SPAN", 3), ("QUERIES", 2)):
+        for name, value in (("ROWS", size), ("SPAN", 3), ("QUERIES", 2), ("WIDE", 5)):
             monkeypatch.setattr(topk, name, value)
         got = _by_query(topk.exact_top_k(topk.integer_vectors(awkward, "vec_id", "embedding", 64), F.col("id") % 20 == 0, 20))
         # a repeated candidate row counts each time, a query once
@@ -78,6 +78,31 @@ def test_exact_top_k_with_large_weights(spark):
     assert got == _best(rows, score, 2)
 
 
+def _clustered(spark, clusters, each, width=32):
+    """(vec_id, embedding): points close about distinct directions."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(clusters, width))
+    points = np.repeat(centres, each, axis=0) + rng.normal(size=(clusters * each, width)) * 0.05
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    ids = rng.permutation(len(points))
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, points, strict=True)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_exact_top_k_moves_few_blocks_of_clustered_vectors(spark, monkeypatch):
+    for name, value in (("ROWS", 64), ("SPAN", 4), ("QUERIES", 16)):
+        monkeypatch.setattr(topk, name, value)
+    frame = _clustered(spark, 20, 256)
+    cells = []
+    made = topk._cells
+    monkeypatch.setattr(topk, "_cells", lambda *a: cells.append(made(*a)) or cells[-1])
+    got = _by_query(topk.exact_top_k(topk.integer_vectors(frame, "vec_id", "embedding", 64), F.col("id") % 20 == 0, 10))
+    rows = [(r.vec_id, np.array(r.embedding)) for r in frame.collect()]
+    assert got == _best(rows, lambda a, b: int(_whole(a) @ _whole(b)), 10)
+    blocks, parts = 20 * 256 // 64, 256 // 16
+    assert cells[0].count() < blocks * parts / 2
+
+
 def test_searches_without_rows_or_queries(spark, awkward):
     empty = awkward.limit(0)
     vectors = topk.integer_vectors(empty, "vec_id", "embedding", 64)
