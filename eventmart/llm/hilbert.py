@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.blocks import best_per_query, one_length, pack_blocks, unpack, whole_vectors
 from eventmart.llm.common import with_positions
-from eventmart.session import durable
+from eventmart.session import durable, settled
 
 ROWS = 8192  # places of a block
+QUERY_ROWS = 1 << 16  # places whose queries meet a block together
 TILE = 64  # queries multiplied at a time
 FOUND = "query_id long, vec_id long, score double"
 
@@ -143,6 +144,28 @@ def _search(k: int, window: int):
     return run
 
 
+def _in_windows(keyed: DataFrame, k: int, reach: int, total: int) -> DataFrame:
+    """The k best of each query among the rows within `reach` places of it in the order of `key`.
+
+    The few queries go to the blocks: one query is copied once for each block of its window, and a
+    block once for every `QUERY_ROWS` places of its own.
+    """
+    placed = with_positions(keyed, ["key", "id"])
+    documents = durable(pack_blocks(placed, F.floor(F.col("position") / ROWS), "<f8"), "documents")
+    queries = durable(pack_blocks(placed.where("asks"), F.floor(F.col("position") / QUERY_ROWS), "<f8"), "queries")
+
+    def touched(size: int, other: int) -> Column:
+        """Numbers of the blocks of `other` places that the window of a block of `size` places meets."""
+        low = F.greatest(F.col("block") * size - reach, F.lit(0))
+        high = F.least(F.col("block") * size + size - 1 + reach, F.lit(total - 1))
+        return F.explode(F.sequence(F.floor(low / other), F.floor(high / other)))
+
+    documents = documents.withColumn("q", touched(ROWS, QUERY_ROWS))
+    queries = queries.withColumn("d", touched(QUERY_ROWS, ROWS))
+    met = queries.groupBy("block", "d").cogroup(documents.groupBy("q", "block"))
+    return met.applyInArrow(_search(k, reach), FOUND)
+
+
 def nearest(
     frame: DataFrame,
     is_query: Column,
@@ -150,15 +173,17 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     orderings: int = 4,
-    window: float = 0.25,
+    window: float | int = 0.25,
     dims: int = 3,
     bits: int = 10,
     seed: int = 7,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products found for each query.
 
-    `is_query` is over `id`, the key as long. `window` is the share of all rows scored on each
-    side of a query in every ordering. Vectors that are null, zero or hold null or non-finite
+    `is_query` is over `id`, the key as long. `window` is what is scored on each side of a query in
+    every ordering: a share of all rows (a float), which finds neighbours whatever the data, or a
+    number of rows (an int), whose work grows with the rows alone and which suits vectors that lie
+    in clusters. Vectors that are null, zero or hold null or non-finite
     components take no part; rows with the query's own id are no candidates, and a repeated
     (id, vector) row counts once. An id may have several vectors; each is searched and found.
     Vectors of several lengths are an error.
@@ -173,23 +198,11 @@ def nearest(
     asked = durable(asked.select(F.col("id").alias("query_id"), "class"), "asked")
     keyed = _keys(points.select("id", "vector"), width, orderings, dims, bits, seed)
     keyed = durable(keyed.join(asked.select(F.col("class").alias("id")).distinct().withColumn("asks", F.lit(True)), "id", "left"), "asking")
-    reach = max(1, int(window * total))
+    reach = max(1, window if isinstance(window, int) else int(window * total))
     found = []
-    for s in range(orderings):
-        placed = with_positions(keyed.select("id", "vector", "asks", F.col("keys")[s].alias("key")), ["key", "id"])
-        block = F.floor(F.col("position") / ROWS)
-        documents = durable(pack_blocks(placed, block, "<f8"), "documents")
-        queries = durable(pack_blocks(placed.where("asks"), block, "<f8"), "queries")
-        last = (total - 1) // ROWS
-        low = F.greatest(F.floor((F.col("block") * ROWS - reach) / ROWS), F.lit(0))
-        high = F.least(F.floor((F.col("block") * ROWS + ROWS - 1 + reach) / ROWS), F.lit(last))
-        documents = documents.withColumn("q", F.explode(F.sequence(low, high)))
-        queries = queries.withColumn("d", F.explode(F.sequence(low, high)))
-        found.append(
-            queries.groupBy(F.col("block"), F.col("d"))
-            .cogroup(documents.groupBy(F.col("q"), F.col("block")))
-            .applyInArrow(_search(k + 1, reach), FOUND)
-        )
+    for ordering in range(orderings):
+        placed = keyed.select("id", "vector", "asks", F.col("keys")[ordering].alias("key"))
+        found.append(settled(lambda placed=placed: _in_windows(placed, k + 1, reach, total), "found"))
     merged = reduce(DataFrame.union, found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     classes = best_per_query(merged, k + 1).select(F.col("query_id").alias("class"), F.col("vec_id").alias("near"), "score")
     members = points.select(F.col("id").alias("near"), "members")

@@ -151,6 +151,18 @@ def test_hilbert_recall(spark):
     assert hits / total >= 0.92
 
 
+def test_hilbert_window_in_rows_finds_clusters(spark, monkeypatch):
+    monkeypatch.setattr(hilbert, "ROWS", 100)  # windows that cross blocks of both kinds
+    monkeypatch.setattr(hilbert, "QUERY_ROWS", 700)
+    frame = _clustered(spark, 50, 60)
+    rows = [(r.vec_id, np.array(r.embedding)) for r in frame.collect()]
+    want = _best(rows, lambda a, b: float(a @ b), 20)
+    got = _by_query(hilbert.nearest(frame, F.col("id") % 20 == 0, 20, window=200))
+    assert got.keys() == want.keys()
+    hits = sum(len({j for j, _ in got[i]} & {j for j, _ in want[i]}) for i in want)
+    assert hits >= 0.9 * 20 * len(want)
+
+
 def test_searches_refuse_vectors_of_several_lengths(spark):
     ragged = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0]), (20, [3.0, 4.0])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError, match="same length"):
