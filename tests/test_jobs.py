@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import as_set
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from eventmart import schemas as S
@@ -17,6 +18,7 @@ from eventmart.operators import model
 from eventmart.plans.pipeline import FULL, GOLD_TABLES, INCREMENTAL, MODEL_TABLES, Mart
 from eventmart.sources.snapshots import Table, mirror
 from eventmart.streaming import activity as streaming
+from eventmart.streaming import ingest as ingestion
 from eventmart.streaming.ingest import event_stream, ingest
 
 REPOS = 40
@@ -295,6 +297,77 @@ def test_stream_equals_batch_and_quarantines(spark, tmp_path):
     assert sorted(reasons) == ["malformed", "other_type"]
 
 
+@pytest.mark.parametrize("filtered", [False, True])
+def test_batch_that_failed_after_the_write_is_played_again(spark, tmp_path, monkeypatch, filtered):
+    raw, root, progress = tmp_path / "raw", str(tmp_path / "mart"), str(tmp_path / "progress")
+    events = make_events(4, 300)
+    for i in range(3):
+        write_file(raw, f"{i}.json.gz", events[i * 100 : i * 100 + 110])
+    merge, played = ingestion.merge_batch, []
+
+    def stops_once(*arguments):
+        added = merge(*arguments)
+        played.append(sum(added.values()))
+        if len(played) == 2:
+            raise RuntimeError("lost after the write")
+        return added
+
+    monkeypatch.setattr(ingestion, "merge_batch", stops_once)
+
+    def drain():
+        stream = event_stream(spark, str(raw), max_files=1)
+        ingest(stream, root, progress, as_of="2020-01-01", filtered=filtered).start().awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="lost after the write"):
+        drain()
+    drain()
+    assert len(played) == 4 and played[1] > 0 and played[2] == 0 and played[3] > 0
+    other = str(tmp_path / "batch")
+    Mart(spark, other, "2020-01-01").build_silver(str(raw), FULL)
+    for name in S.EVENT_TABLES.values():
+        batch = Table(spark, other, name).read().drop("source_file")
+        if not batch.isEmpty():
+            got = Table(spark, root, name).read().drop("source_file")
+            assert got.count() == batch.count() and as_set(got) == as_set(batch)
+
+
+def test_hourly_stream_stops_and_resumes_from_its_state(spark, tmp_path, monkeypatch):
+    folder, root, progress = str(tmp_path / "in"), str(tmp_path / "mart"), tmp_path / "p"
+    frame = spark.range(600).selectExpr(
+        "CAST(id AS STRING) AS event_id",
+        "timestampadd(MINUTE, CAST(id % 300 AS INT), timestamp'2020-01-01') AS created_at",
+        "if(id % 3 = 0, 'a', 'b') AS type",
+        "id % 4 AS repo_id",
+    )
+    frame.repartition(4, "event_id").write.parquet(folder)  # every hour lies in every file
+    upsert, calls = Table.upsert, []
+
+    def stops_once(*arguments, **named):
+        calls.append(upsert(*arguments, **named))
+        if len(calls) == 2:
+            raise RuntimeError("lost after the write")
+        return calls[-1]
+
+    monkeypatch.setattr(Table, "upsert", stops_once)
+
+    def drain():
+        source = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        unique = streaming.dedup_stream(source, "30 days")
+        counts = unique.groupBy(F.window("created_at", "1 hour").alias("w"), "repo_id").count()
+        counts = counts.select(F.to_date("w.start").alias("window_day"), F.col("w.start").alias("window_start"), "repo_id", "count")
+        streaming.upsert_stream(counts, root, "hourly", str(progress)).start().awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="lost after the write"):
+        drain()
+    drain()
+    assert len(calls) == 5  # four files and one that was played again
+    hour = F.date_trunc("hour", "created_at")
+    want = frame.groupBy(F.to_date(hour), hour.alias("hour"), "repo_id").count()
+    got = Table(spark, root, "hourly").read().select("window_day", "window_start", "repo_id", "count")
+    assert as_set(got) == as_set(want)
+    assert list((progress / "state").rglob("*.changelog"))  # the state lies outside the heap
+
+
 def test_hourly_stream_equals_batch(spark, tmp_path):
     folder = str(tmp_path / "in")
     frame = spark.range(900).selectExpr(
