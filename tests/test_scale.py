@@ -1,0 +1,81 @@
+"""What one task holds and what is shuffled, told by plans and settings."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from eventmart import schemas as S
+from eventmart.operators import conform
+from eventmart.plans import fixtures as X
+from eventmart.plans.queries import QUERIES
+from eventmart.session import MOST, configure, file_sized
+from eventmart.sources.events import slim_events
+
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+_ENVELOPE = "id string, type string, created_at timestamp, actor struct<id:long,login:string>, repo struct<id:long,name:string>, payload string, source_file string"
+
+
+def _plan(frame, optimized=False):
+    run = frame._jdf.queryExecution()
+    return (run.optimizedPlan() if optimized else run.executedPlan()).toString()
+
+
+def _table(spark, folder, name, schema, *values):
+    spark.createDataFrame(list(values), schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
+def _star(spark, folder):
+    day = datetime(1998, 3, 4)
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    first = (1, 7, 3, 1, 5.0, 1.0, 0.1, 0.0, "A", "F", day)
+    _table(spark, folder, "lineitem", line, first, first, (1, 9, 3, 1, 5.0, 1.0, 0.1, 0.0, "A", "F", day), (1, 7, 3, 2, 5.0, 1.0, 0.1, 0.0, "A", "F", day), (None, 7, 3, 2, 5.0, 1.0, 0.1, 0.0, "A", "F", day))
+    _table(spark, folder, "orders", "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string", (1, 4, "F", 1.0, day, "1"))
+    _table(spark, folder, "part", "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double", (7, "a ring", "Brand#11", "TIN", 9, 1.0))
+    _table(spark, folder, "customer", "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string", (4, "c", 1, 1.0, "m"))
+
+
+def test_a_task_is_bounded_but_a_smaller_bound_is_kept(spark):
+    held = spark.conf.get(_ADVISORY)
+    try:
+        spark.conf.set(_ADVISORY, "64m")
+        configure(spark)
+        assert spark.conf.get(_ADVISORY) == MOST[_ADVISORY]
+        with file_sized(spark):
+            assert spark.conf.get(_ADVISORY) == "64m"
+        assert spark.conf.get(_ADVISORY) == MOST[_ADVISORY]
+        spark.conf.set(_ADVISORY, "8m")
+        configure(spark)
+        with file_sized(spark):
+            assert spark.conf.get(_ADVISORY) == "8m"
+    finally:
+        spark.conf.set(_ADVISORY, held)
+
+
+def test_lines_reach_their_orders_in_one_exchange(spark, tmp_path):
+    _star(spark, tmp_path)
+    events = X.unique_events(configure(spark), str(tmp_path))
+    assert "hashpartitioning(l_orderkey, l_linenumber" not in _plan(events).replace("#", "").translate({ord(c): None for c in "0123456789L"})
+    assert sorted((r.event_id, r.repo_id) for r in events.select("event_id", "repo_id").collect()) == [("11", 7), ("12", 7)]
+
+
+def test_the_split_reads_a_copy_of_the_labels(spark, tmp_path):
+    _star(spark, tmp_path)
+    frame = QUERIES["temporal_split"](spark, str(tmp_path))
+    assert "Window" not in _plan(frame)
+    frame.collect()
+
+
+def test_a_payload_is_parsed_once(rows):
+    event = ("1", S.PULL_REQUEST, datetime(1998, 1, 1), (1, "a"), (2, "b"), '{"action": "x", "pull_request": {"id": 5}, "extra": 1}', "f")
+    slim = slim_events(rows(_ENVELOPE, event, event[:5] + (None, "f")))
+    assert _plan(slim, optimized=True).count("from_json") <= 6
+    texts = [r.payload for r in slim.collect()]
+    assert texts[1] is None and '"merged":false' in texts[0] and "extra" not in texts[0]
+
+
+def test_conformed_without_payload(rows):
+    event = ("1", S.WATCH, datetime(1998, 1, 1), (1, "a"), (2, "b"), "{}", "f")
+    raw = rows(_ENVELOPE, event, event[:5] + ('{"a": 1}', "f"), event[:5] + ("{}", "e"))
+    slim = conform.conform(raw, "1990-01-01", "2100-01-01", payload=False)
+    assert "payload" not in slim.columns
+    assert slim.collect() == conform.conform(raw, "1990-01-01", "2100-01-01").drop("payload").collect()
