@@ -10,12 +10,13 @@ each is tied to the smallest of the meeting instead of to every other.
 
 A fingerprint of 64 bits cannot tell a similarity: texts that share four of five shingles lie up to
 16 bits apart, and at that distance any two texts meet in any block. `keep_unlike` therefore
-compares the shingle sets themselves.
+compares the shingle sets of linked fingerprints, and finds the similar texts that lie further apart
+by the leading shingles of their sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -69,14 +70,24 @@ def fingerprint_text(text: str | None, width: int = 4, seed: int = 42) -> int:
     Words are split at ASCII white space after lower-casing A-Z. A bit is 1 if it is set in
     over half the shingle hashes, repeats included; fewer than `width` words are one shingle.
     """
+    return _majority(_shingle_hashes(text, width, seed))
+
+
+def _majority(chunks: Iterable[np.ndarray]) -> int:
+    """Unsigned number of the bits that over half of all hashes set; 0 without hashes."""
     ones, total = np.zeros(64, np.int64), 0
-    for hashes in _shingle_hashes(text, width, seed):
+    for hashes in chunks:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         total += len(hashes)
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
+def fingerprint_set(hashes: np.ndarray) -> int:
+    """Unsigned 64-bit SimHash of a set of shingle hashes; 0 if it is empty."""
+    return _majority(hashes[at : at + CHUNK] for at in range(0, len(hashes), CHUNK))
+
+
 def fingerprint(text: str, width: int = 4) -> Column:
     """Column long: the fingerprint's 64 bits (read as signed)."""
 
@@ -204,8 +215,10 @@ def keep_unlike(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     `fingerprint_text`; texts without words, nulls included, are alike. Of rows that share the
     smallest key, one stays. All columns are kept as they are.
 
-    No pair is missed: with the shingles of all texts in one order, sets of that similarity share some
-    among their first n - ceil(percent n / 100) + 1, and how many they share there bounds what they share in all.
+    Sets whose fingerprints are linked (`links`, over the different shingles) are compared first. Most similar
+    texts lie further apart than fingerprints are linked, so the others are found by their leading
+    shingles. No pair is missed: with the shingles of all texts in one order, sets of that similarity share some among
+    their first n - ceil(percent n / 100) + 1, and how many they share there bounds what they share in all.
     Only pairs within the bound are compared in full. The order puts shingles that are frequent
     in a sample last, so that common ones seldom bring texts together.
     """
@@ -215,12 +228,16 @@ def keep_unlike(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     hot = _frequent(texts.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0), width)
     made = texts.select(order, "node", _leading(words, width, percent, hot).alias("s"))
     sketches = durable(made.select(order, "node", "s.*"), "sketches")
-    least = sketches.groupBy("same").agg(F.min(F.struct(F.col(order).isNull(), order, "node")).alias("first"))
-    least = durable(least.select("first", F.col("first.node").alias("node")), "least")
-    members = settled(lambda: _members(sketches.join(least.select("node"), "node", "left_semi")), "members")
+    # equal sets have equal fingerprints
+    least = sketches.groupBy("same").agg(F.min(F.struct(F.col(order).isNull(), order, "node")).alias("first"), F.min("fp").alias("fp"))
+    least = durable(least.select("first", F.col("first.node").alias("node"), "fp"), "least")
+    chosen = durable(sketches.select("node", "n", "lead", "last").join(least.select("node"), "node", "left_semi"), "chosen")
     release(sketches)
-    rooted = settled(lambda: components(_alike(texts, members, width, percent)), "roots")
-    release(members)
+    members = settled(lambda: _members(chosen), "members")
+    release(chosen)
+    linked = settled(lambda: _linked(least.select("node", "fp")), "linked")
+    rooted = settled(lambda: components(_alike(texts, members, linked, width, percent)), "roots")
+    release(members, linked)
     named = least.join(rooted, "node", "left")
     first = named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     kept = durable(first.select(F.col("first.node").alias(row)), "kept")
@@ -247,17 +264,18 @@ def _sets(text: Column, width: int) -> Column:
 
 
 def _leading(text: Column, width: int, percent: int, hot: tuple[np.ndarray, np.ndarray]) -> Column:
-    """Column struct: a digest of the shingle set, its size, the first shingles in the common order and where they end."""
+    """Column struct: of the shingle set a digest, the fingerprint, the size, the first shingles in the common order and where they end."""
     known, often = hot
 
-    @F.pandas_udf("same binary, n int, lead array<long>, last struct<rank:long,hash:long>")
+    @F.pandas_udf("same binary, fp long, n int, lead array<long>, last struct<rank:long,hash:long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            same, n, lead, last = [], [], [], []
+            same, fp, n, lead, last = [], [], [], [], []
             for t in batch:
                 found = shingle_set(t, width)
                 size = len(found)
                 same.append(xxhash.xxh3_128_digest(found.tobytes()))
+                fp.append(fingerprint_set(found))
                 n.append(size)
                 rank = np.zeros(size, np.int64)
                 if len(known):
@@ -267,11 +285,20 @@ def _leading(text: Column, width: int, percent: int, hot: tuple[np.ndarray, np.n
                 lead.append(found[first])
                 last.append((int(rank[first[-1]]), int(found[first[-1]])) if size else (0, 0))
             ends = pd.DataFrame(last, columns=["rank", "hash"]).to_dict("records")
-            yield pd.DataFrame({"same": same, "n": n, "lead": pd.Series(lead, dtype=object), "last": pd.Series(ends, dtype=object)})
+            yield pd.DataFrame({"same": same, "fp": np.array(fp, np.uint64).view(np.int64), "n": n, "lead": pd.Series(lead, dtype=object), "last": pd.Series(ends, dtype=object)})
 
     return run(text)
 
 
+def _linked(prints: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of texts (node, fp) whose fingerprints are equal or linked; a fingerprint's smallest text stands for it."""
+    named = durable(prints.groupBy("fp").agg(F.min("node").alias("first")), "named")
+    same = prints.join(named, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    met = links(named).join(named.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a")
+    met = met.join(named.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
+    return same.union(met.select(F.least("x", "y"), F.greatest("x", "y")))
+
+
 def _members(sketches: DataFrame) -> DataFrame:
     """(key, node, n, ahead, last) of each leading shingle that stands in several sets; `ahead` are the shingles before it.
 
@@ -279,7 +306,8 @@ def _members(sketches: DataFrame) -> DataFrame:
     """
     leads = sketches.select("node", "n", (F.col("n") - F.size("lead")).alias("rest"), "last", F.posexplode("lead").alias("ahead", "key"))
     busy = durable(leads.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "busy")
-    return _busy_only(leads, busy).join(busy, "key", "left_semi")
+    # not a semi join: the optimizer would move it, and the shuffle of all leading shingles, below the filter
+    return _busy_only(leads, busy).join(busy, "key")
 
 
 def _bounded(met: DataFrame, percent: int) -> DataFrame:
@@ -300,12 +328,12 @@ def _bounded(met: DataFrame, percent: int) -> DataFrame:
     return pairs.where((100 + percent) * most >= percent * F.col("both")).select("a", "b", "shared")
 
 
-def _alike(texts: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+def _alike(texts: DataFrame, members: DataFrame, linked: DataFrame, width: int, percent: int) -> DataFrame:
     """Edges (a, b) between similar texts (of different sets); their components are those of all links.
 
-    First each set meets the smallest one under a shared shingle, and of those that it may be similar to
-    the one that shares most: most near copies are linked by these alone. Then all pairs that share
-    a shingle meet, but for those that lie in one component already.
+    First the pairs of `linked` fingerprints are compared, and each set with the smallest one under a shared
+    shingle, of those that it may be similar to the one that shares most: most near copies are linked
+    by these alone. Then all pairs that share a shingle meet, but for those that lie in one component already.
     """
 
     def side(frame: DataFrame, s: str) -> DataFrame:
@@ -317,12 +345,12 @@ def _alike(texts: DataFrame, members: DataFrame, width: int, percent: int) -> Da
     least = members.groupBy("key").agg(F.min(F.struct(*facts)).alias("first")).select("key", "first.*")
     star = side(least, "a").join(side(members, "b"), "key").where("node_a < node_b").where(enough)
     star = _bounded(star, percent).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    star = durable(star.select("a", "b"), "star")
-    sure = durable(_confirmed(star, texts, width, percent), "sure")
+    tried = durable(linked.union(star.select("a", "b")).distinct(), "tried")
+    sure = durable(_confirmed(tried, texts, width, percent), "sure")
     rooted = settled(lambda: components(sure), "rooted")
     known = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node")).select("key", *facts, "root")
     met = side(known, "a").join(side(known, "b"), "key").where("node_a < node_b AND root_a <> root_b").where(enough)
-    pairs = durable(_bounded(met, percent).select("a", "b").join(star, ["a", "b"], "left_anti"), "pairs")
+    pairs = durable(_bounded(met, percent).select("a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
     release(rooted)
     return sure.union(_confirmed(pairs, texts, width, percent))
 

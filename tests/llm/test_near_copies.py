@@ -74,3 +74,50 @@ def test_near_copies_edge_cases(spark):
     assert sorted((r.doc_id, r.text) for r in got if r.doc_id is not None) == [(3, "a b c d e f")]
     assert [r.text for r in got if r.doc_id is None] == ["alone"]
     assert simhash.keep_unlike(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_near_copies_are_linked_by_fingerprints(spark, monkeypatch):
+    """Without a shared leading shingle, similar texts with near fingerprints are still one class; unlike ones never are."""
+    found = simhash._members
+    monkeypatch.setattr(simhash, "_members", lambda sketches: found(sketches).limit(0))
+    texts = {}
+    for n in range(40):
+        words = [f"w{n}x{k}" for k in range(400)]
+        for cut in (0, 1, 2):
+            texts[len(texts)] = " ".join(words[cut:])
+    prints = {i: simhash.fingerprint_set(simhash.shingle_set(t, 5)) for i, t in texts.items()}
+    near = [i for i in texts if i % 3 and (prints[i] ^ prints[i - i % 3]).bit_count() <= simhash.RADIUS]
+    assert len(near) > 40
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    stay = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert not stay & set(near)
+    assert stay >= set(range(0, 120, 3))
+
+
+def test_linked_fingerprints_that_are_unlike_stay(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "fingerprint_set", lambda hashes: 7)
+    rows = [(n, " ".join(f"w{n}x{k}" for k in range(30))) for n in range(20)]
+    assert corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").count() == 20
+
+
+def test_linked_pairs_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    prints = [(n, int(p)) for n, p in enumerate(np.repeat(rng.integers(-(2**63), 2**63 - 1, 30), 2))]
+    prints += [(100 + n, p ^ (1 << int(rng.integers(0, 63)))) for n, p in prints[::3]]
+    got = {(r.a, r.b) for r in simhash._linked(spark.createDataFrame(prints, "node long, fp long")).collect()}
+    first = {}
+    for node, p in prints:
+        first[p] = min(node, first.get(p, node))
+    want = {(first[p], node) for node, p in prints if node != first[p]}
+    want |= {(min(first[p], first[q]), max(first[p], first[q])) for p in first for q in first if p != q and ((p ^ q) & (2**64 - 1)).bit_count() <= 4}
+    assert got == want
+
+
+def test_only_busy_shingles_are_shuffled(spark):
+    """The bitmap of busy keys is joined below the exact join with them."""
+    rows = [(n, 2, [n, 5], (0, 9)) for n in range(10)]
+    sketches = spark.createDataFrame(rows, "node long, n int, lead array<long>, last struct<rank:long,hash:long>")
+    members = simhash._members(sketches)
+    assert {r.key for r in members.collect()} == {5}
+    joins = [x for x in members._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    assert len(joins) == 2 and "broadcast" in joins[1] and "broadcast" not in joins[0]
