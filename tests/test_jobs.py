@@ -331,6 +331,54 @@ def test_batch_that_failed_after_the_write_is_played_again(spark, tmp_path, monk
             assert got.count() == batch.count() and as_set(got) == as_set(batch)
 
 
+def test_a_batch_is_merged_with_one_search(spark, tmp_path, monkeypatch):
+    """The ids that the seven tables hold are found by one join; nothing is cached, and only new rows are added."""
+    raw, root = tmp_path / "raw", str(tmp_path / "mart")
+    events = make_events(4, 300)
+    write_file(raw, "a.json.gz", events[:200], "broken")
+    write_file(raw, "b.json.gz", events[150:])
+    searches, found = [], ingestion._held_ids
+
+    def search(*arguments):
+        searches.append(1)
+        return found(*arguments)
+
+    monkeypatch.setattr(ingestion, "_held_ids", search)
+    monkeypatch.setattr(Table, "insert_only", lambda *_, **__: pytest.fail("a search for one table"))
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *_: pytest.fail("a cached frame"))
+    stream = event_stream(spark, str(raw), max_files=1)
+    ingest(stream, root, str(tmp_path / "progress"), as_of="2020-01-01").start().awaitTermination()
+    assert len(searches) == 2
+    monkeypatch.undo()
+    other = str(tmp_path / "batch")
+    Mart(spark, other, "2020-01-01").build_silver(str(raw), FULL)
+    for name in S.EVENT_TABLES.values():
+        want = Table(spark, other, name).read().drop("source_file")
+        got = Table(spark, root, name).read().drop("source_file")
+        assert got.count() == want.count() and as_set(got) == as_set(want)
+
+
+def test_an_id_is_searched_in_its_own_table_only(spark, tmp_path):
+    schema = S.ENVELOPE
+    row = ("7", "PushEvent", datetime(2015, 5, 1), (1, "x"), (2, "a/b"), "{}")
+    names = spark.createDataFrame([], schema).columns
+
+    def batch(*types):
+        frames = [spark.createDataFrame([(row[0], t, *row[2:])], "id string, type string, created_at timestamp, actor struct<id:long,login:string>, repo struct<id:long,name:string>, payload string") for t in types]
+        out = frames[0]
+        for frame in frames[1:]:
+            out = out.unionAll(frame)
+        return out.select(*names)
+
+    def added(*types):
+        done = ingestion.merge_batch(batch(*types), str(tmp_path), as_of="2020-01-01")
+        return sorted(name for name, n in done.items() if n)
+
+    assert added("PushEvent") == ["push_events"]
+    assert added("ForkEvent") == ["fork_events"]
+    assert added("PushEvent") == added("ForkEvent") == []
+
+
 def test_hourly_stream_stops_and_resumes_from_its_state(spark, tmp_path, monkeypatch):
     folder, root, progress = str(tmp_path / "in"), str(tmp_path / "mart"), tmp_path / "p"
     frame = spark.range(600).selectExpr(
