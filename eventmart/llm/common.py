@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventmart.session import configure, durable
 
 _PART_BITS = 33  # monotonically_increasing_id(): partition above, row within it below
+FILTER_BITS = 24  # size of a broadcast bitmap of keys: a fixed 2**18 words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,3 +64,28 @@ def with_positions(frame: DataFrame, keys: Sequence[str], name: str = "position"
         .withColumn(name, col(start) + within)
         .drop(part, start, at)
     )
+
+
+def told_apart(frame: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may stand in the only column of `keys`, with all that do, and the other rows.
+
+    A bitmap of hashes, of fixed size, is broadcast, so neither part is shuffled. No key is null.
+    """
+    word, bit, bits, of = (fresh(frame, f"_{x}") for x in ("word", "bit", "bits", "of"))
+
+    def place(name: str) -> list[Column]:
+        spot = F.pmod(F.xxhash64(col(name)), F.lit(1 << FILTER_BITS))
+        return [F.shiftright(spot, 6).alias(word), spot.bitwiseAND(F.lit(63)).cast("int").alias(bit)]
+
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(bit))
+    bitmap = keys.select(*place(keys.columns[0])).groupBy(F.col(word).alias(of)).agg(F.bit_or(one).alias(bits))
+    marked = frame.select("*", *place(key)).join(F.broadcast(bitmap), F.col(word) == F.col(of), "left")
+    held = F.coalesce(F.col(bits), F.lit(0)).bitwiseAND(one) != 0
+    columns = list(map(col, frame.columns))
+    return marked.where(held).select(*columns), marked.where(~held).select(*columns)
+
+
+def without(frame: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key is not in the only column of `keys`, which has that name; few of the others are shuffled."""
+    maybe, other = told_apart(frame, key, keys)
+    return other.union(maybe.join(keys, key, "left_anti").select(*map(col, frame.columns)))

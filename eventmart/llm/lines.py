@@ -24,12 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import col, fresh, with_positions, with_rows
+from eventmart.llm.common import col, fresh, told_apart, with_positions, with_rows
 from eventmart.session import durable, release, settled
 
 MIN_WORDS = 50
 _LINE_BITS = 27  # lines of one document; the bits above number the documents
 _SPACE = b" \t\r\x0b\x0c"
+_LINE = "[^\n \t\r\x0b\x0c][^\n]*"  # a line that is not blank, from its first character that is no space
 
 
 def _lines(text: str | None) -> list[bytes]:
@@ -139,7 +140,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     docs = docs.select([col(c) for c in docs.columns if c.lower() not in ("n_lines", "n_removed")])
     rows, row = with_rows(docs)
     number, order, items, out = (fresh(rows, f"_{x}") for x in ("number", "order", "items", "gone"))
-    total = fresh(rows, "_lines")
 
     def notes_of_rows() -> DataFrame:
         numbered = with_positions(rows.select(col(row), col(key).alias(order)), [order, row], number).select(row, number)
@@ -148,23 +148,24 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
         split = durable(split.select(row, F.posexplode(arrays).alias("seq", "line")).select(row, "seq", "line.*"), "lines")
         place = F.shiftleft(col(number), _LINE_BITS).bitwiseOR(F.col("seq").cast("long"))
         lines = durable(split.join(numbered, row).withColumn("pos", place), "placed")
-        counts = durable(split.groupBy(row).agg(F.count("*").alias(total)), "counts")
         release(split)
         gone = repeated_lines(lines, min_words).select(
             F.shiftright("pos", _LINE_BITS).alias(number), F.col("pos").bitwiseAND(F.lit((1 << _LINE_BITS) - 1)).cast("int").alias("seq")
         )
         # both lists are bounded by the lines of one document
-        gone = gone.groupBy(number).agg(F.collect_list("seq").alias(out)).join(numbered, number).drop(number)
-        return counts.join(gone, row, "left")
+        return gone.groupBy(number).agg(F.collect_list("seq").alias(out)).join(numbered, number).drop(number)
 
     notes = settled(notes_of_rows, "notes")
-    joined = rows.join(notes, row, "left")
+    maybe, other = told_apart(rows, row, notes.select(row))
+    joined = maybe.join(notes, row, "left")
     touched = col(out).isNotNull()
     # only the texts that change go through Python
     shorter = F.pandas_udf(_without, "string")(F.when(touched, col(text)), col(out))
     cut = F.when(touched, shorter).otherwise(col(text))
-    return joined.select(
+    n_lines = F.coalesce(F.regexp_count(col(text), F.lit(_LINE)), F.lit(0)).cast("long").alias("n_lines")
+    changed = joined.select(
         *[cut.alias(c) if c.lower() == text.lower() else col(c) for c in docs.columns],
-        F.coalesce(col(total), F.lit(0).cast("long")).alias("n_lines"),
+        n_lines,
         F.when(touched, F.size(col(out))).otherwise(0).cast("long").alias("n_removed"),
     )
+    return other.select(*map(col, docs.columns), n_lines, F.lit(0).cast("long").alias("n_removed")).union(changed)

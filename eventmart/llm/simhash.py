@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import col, fresh, with_rows
+from eventmart.llm.common import col, fresh, told_apart, with_rows, without
 from eventmart.llm.graph import components
 from eventmart.llm.shingles import shingle_hashes, word_hashes_of
 from eventmart.session import durable, release, settled
@@ -37,7 +37,6 @@ TASK = 8192  # fingerprints whose variants one task makes
 SAMPLE = 64  # one text in so many is searched for frequent shingles; they only decide an order
 SEVERAL = 3  # texts of the sample that make a shingle frequent
 FREQUENT = 1 << 17  # frequent shingles held at most
-FILTER_BITS = 24  # size of the bitmap of busy variants: a fixed 2**18 words
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -125,16 +124,6 @@ def _close(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= RADIUS
 
 
-def _busy_only(variants: DataFrame, busy: DataFrame) -> DataFrame:
-    """The rows without most of those whose key is not busy: a bitmap of hashes, of fixed size, is broadcast."""
-    spot = F.pmod(F.xxhash64("key"), F.lit(1 << FILTER_BITS))
-    word, bit = F.shiftright(spot, 6).alias("word"), spot.bitwiseAND(F.lit(63)).cast("int").alias("bit")
-    one = F.expr("shiftleft(1L, bit)")
-    bitmap = busy.select(word, bit).groupBy("word").agg(F.bit_or(one).alias("bits"))
-    marked = variants.select("*", word, bit).join(F.broadcast(bitmap), "word")
-    return marked.where(F.col("bits").bitwiseAND(one) != 0).select(*variants.columns)
-
-
 def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (fp long) whose components are those of all links.
 
@@ -147,7 +136,7 @@ def links(prints: DataFrame) -> DataFrame:
     met = durable(met.where("n > 1"), "meetings")
     pairs = met.where("n = 2").where(_close("a", "b")).select("a", "b")
     busy = met.where("n > 2").select("key", "n")
-    members = durable(_busy_only(_variants(prints), busy).join(busy, "key"), "members")
+    members = durable(told_apart(_variants(prints), "key", busy.select("key"))[0].join(busy, "key"), "members")
     few = members.where(F.col("n") <= CROWD).select("key", "fp")
     some = (
         few.select("key", F.col("fp").alias("a"))
@@ -229,9 +218,12 @@ def keep_unlike(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     made = texts.select(order, "node", _leading(words, width, percent, hot).alias("s"))
     sketches = durable(made.select(order, "node", "s.*"), "sketches")
     # equal sets have equal fingerprints
-    least = sketches.groupBy("same").agg(F.min(F.struct(F.col(order).isNull(), order, "node")).alias("first"), F.min("fp").alias("fp"))
-    least = durable(least.select("first", F.col("first.node").alias("node"), "fp"), "least")
-    chosen = durable(sketches.select("node", "n", "lead", "last").join(least.select("node"), "node", "left_semi"), "chosen")
+    rank = F.struct(F.col(order).isNull(), order, "node")
+    least = sketches.groupBy("same").agg(F.min(rank).alias("first"), F.min("fp").alias("fp"), F.count("*").alias("held"))
+    least = durable(least.select("same", "first", F.col("first.node").alias("node"), "fp", "held"), "least")
+    firsts = least.where("held > 1").select("same", F.col("node").alias("kept"))
+    spare = durable(sketches.select("same", "node").join(firsts, "same").where("node <> kept").select("node"), "spare")
+    chosen = durable(without(sketches.select("node", "n", "lead", "last"), "node", spare), "chosen")
     release(sketches)
     members = settled(lambda: _members(chosen), "members")
     release(chosen)
@@ -239,10 +231,13 @@ def keep_unlike(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     rooted = settled(lambda: components(_alike(texts, members, linked, width, percent)), "roots")
     release(members, linked)
     named = least.join(rooted, "node", "left")
-    first = named.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    kept = durable(first.select(F.col("first.node").alias(row)), "kept")
-    release(least, rooted)
-    return rows.join(kept, row, "left_semi").drop(row)
+    # most sets are a class of their own, whose smallest row stays
+    several = named.where("root IS NOT NULL")
+    first = several.groupBy("root").agg(F.min("first").alias("first"))
+    lost = several.select("root", "node").join(first.select("root", F.col("first.node").alias("kept")), "root").where("node <> kept")
+    gone = durable(lost.select("node").union(spare).select(F.col("node").alias(row)), "gone")
+    release(least, rooted, spare)
+    return without(rows, row, gone).drop(row)
 
 
 def _frequent(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -307,7 +302,7 @@ def _members(sketches: DataFrame) -> DataFrame:
     leads = sketches.select("node", "n", (F.col("n") - F.size("lead")).alias("rest"), "last", F.posexplode("lead").alias("ahead", "key"))
     busy = durable(leads.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "busy")
     # not a semi join: the optimizer would move it, and the shuffle of all leading shingles, below the filter
-    return _busy_only(leads, busy).join(busy, "key")
+    return told_apart(leads, "key", busy)[0].join(busy, "key")
 
 
 def _bounded(met: DataFrame, percent: int) -> DataFrame:
@@ -369,7 +364,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
             yield pd.Series(out, dtype=bool)
 
     nodes = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    near = _busy_only(texts.select(F.col("node").alias("key"), "_words"), nodes)
+    near, _ = told_apart(texts.select(F.col("node").alias("key"), "_words"), "key", nodes)
     both = pairs.join(near.select(F.col("key").alias("a"), F.col("_words").alias("x")), "a")
     both = both.join(near.select(F.col("key").alias("b"), F.col("_words").alias("y")), "b")
     return both.where(similar("x", "y")).select("a", "b")

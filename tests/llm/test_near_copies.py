@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from eventmart.llm import simhash
+from eventmart.llm import common, lines, simhash
 
 
 def _shingles(text: str) -> set:
@@ -121,3 +121,35 @@ def test_only_busy_shingles_are_shuffled(spark):
     assert {r.key for r in members.collect()} == {5}
     joins = [x for x in members._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
     assert len(joins) == 2 and "broadcast" in joins[1] and "broadcast" not in joins[0]
+
+
+def test_told_apart_is_exact_and_keeps_repeated_rows(spark):
+    frame = spark.range(3000).selectExpr("id AS x", "id % 700 AS `a key`", "cast(id AS string) AS bits")
+    keys = spark.range(0, 700, 9).selectExpr("id AS `a key`")
+    maybe, other = common.told_apart(frame, "a key", keys)
+    assert maybe.columns == other.columns == frame.columns
+    assert maybe.count() + other.count() == 3000 and all(r["a key"] % 9 for r in other.collect())
+    assert {r["a key"] for r in maybe.collect()} >= set(range(0, 700, 9))
+    left = common.without(frame, "a key", keys).collect()
+    assert sorted((r.x, r["a key"], r.bits) for r in left) == [(n, n % 700, str(n)) for n in range(3000) if n % 700 % 9]
+    assert common.without(frame, "a key", keys.limit(0)).count() == 3000
+
+
+@pytest.mark.parametrize("made", [lambda docs: simhash.keep_unlike(docs), lambda docs: lines.dedup_lines(docs)])
+def test_texts_that_stay_are_not_shuffled(spark, made):
+    """Their part of the result meets nothing but a bitmap of fixed size."""
+    texts = [" ".join(f"w{n % 7}x{k}" for k in range(60)) for n in range(9)]
+    out = made(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    plan = out._jdf.queryExecution().optimizedPlan()
+    stay, rest = plan.children().apply(0).toString(), plan.children().apply(1).toString()
+    joins = [x for x in stay.splitlines() if "Join " in x]
+    assert len(joins) == 1 and "broadcast" in joins[0]
+    assert any("Join " in x and "broadcast" not in x for x in rest.splitlines())
+
+
+def test_equal_sets_and_similar_texts_leave_together(spark):
+    base = " ".join(f"w{n}" for n in range(100))
+    near = base + " more"
+    rows = [(5, base), (3, base), (9, near), (None, base), (7, near), (3, near), (8, "other words"), (None, None), (2, None)]
+    out = simhash.keep_unlike(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text is None) for r in out) == [(2, True), (3, False), (8, False)]
