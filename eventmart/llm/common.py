@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,20 @@ _PART_BITS = 33  # monotonically_increasing_id(): partition above, row within it
 FILTER_BITS = 24  # size of a broadcast bitmap of keys: a fixed 2**18 words
 
 
+T = TypeVar("T")
+
+
+def thrifty(batches: Iterable[T]) -> Iterator[T]:
+    """The batches of a task. What Arrow holds for later use goes back to the system after each of them.
+
+    A Python worker outlives its task, so all that it keeps adds up with what other workers and the JVM hold.
+    """
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

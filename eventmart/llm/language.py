@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import col
+from eventmart.llm.common import col, thrifty
 
 ORDERS = (1, 2, 3, 4)
 BITS = 15
-SLICE = 1 << 19  # characters hashed at a time; the last ones of a slice are carried into the next
+SLICE = 1 << 17  # characters hashed at a time; the last ones of a slice are carried into the next
 UNKNOWN = "und"
 
 
@@ -103,7 +103,7 @@ def _count_batches(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
-        for batch in batches:
+        for batch in thrifty(batches):
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             by_lang: dict[str, list[str]] = {}
             for text, lang in zip(texts, langs, strict=True):
@@ -178,7 +178,7 @@ def predict(frame: DataFrame, model: LanguageModel, text: str = "text") -> Colum
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in thrifty(batches):
             lang, score = score_texts(shared.value, batch.tolist())
             yield pd.DataFrame({"lang_pred": pd.Series(lang, dtype=object), "score": score})
 

@@ -22,12 +22,12 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import col, fresh, with_rows
+from eventmart.llm.common import col, fresh, thrifty, with_rows
 from eventmart.llm.pretokens import grouped_runs
 from eventmart.session import durable
 
 GROUP = 8192  # pieces packed together on average
-CACHED = 250_000  # words kept by a Python worker
+CACHED = 100_000  # words kept by a task
 
 
 class _WordIds(dict):
@@ -120,7 +120,7 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, text: str = "text", capa
 
     @F.pandas_udf(kind)
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in thrifty(batches):
             n, crc, kept = [], [], []
             for _, data in token_bytes(batch.tolist(), shared.value, end):
                 total = len(data) // 4
@@ -133,6 +133,8 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, text: str = "text", capa
                     kept.append([np.frombuffer(p, "<u4").astype(np.int32) for p in parts])
             out = {"n": n, "crc": crc} | ({"ids": kept} if ids else {})
             yield pd.DataFrame(out)
+        # a worker outlives its task; only the vocabulary stays with it
+        _word_ids(shared.value).clear()
 
     made, at = fresh(docs, "_made"), fresh(docs, "_at")
     rows = docs.withColumn(made, cut(col(text)))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import col, fresh, told_apart, with_rows, without
+from eventmart.llm.common import col, fresh, thrifty, told_apart, with_rows, without
 from eventmart.llm.graph import components
 from eventmart.llm.shingles import shingle_hashes, word_hashes_of
 from eventmart.session import durable, release, settled
@@ -92,7 +92,7 @@ def fingerprint(text: str, width: int = 4) -> Column:
 
     @F.pandas_udf("long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+        for batch in thrifty(batches):
             yield pd.Series(np.array([fingerprint_text(t, width) for t in batch], np.uint64).view(np.int64))
 
     return run(col(text))
@@ -252,7 +252,7 @@ def _sets(text: Column, width: int) -> Column:
 
     @F.pandas_udf("array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+        for batch in thrifty(batches):
             yield pd.Series([shingle_set(t, width) for t in batch], dtype=object)
 
     return run(text)
@@ -264,7 +264,7 @@ def _leading(text: Column, width: int, percent: int, hot: tuple[np.ndarray, np.n
 
     @F.pandas_udf("same binary, fp long, n int, lead array<long>, last struct<rank:long,hash:long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in thrifty(batches):
             same, fp, n, lead, last = [], [], [], [], []
             for t in batch:
                 found = shingle_set(t, width)
@@ -355,7 +355,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
     @F.pandas_udf("boolean")
     def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for left, right in batches:
+        for left, right in thrifty(batches):
             out = []
             for x, y in zip(left, right, strict=True):
                 x, y = shingle_set(x, width), shingle_set(y, width)

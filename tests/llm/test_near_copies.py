@@ -147,6 +147,28 @@ def test_texts_that_stay_are_not_shuffled(spark, made):
     assert any("Join " in x and "broadcast" not in x for x in rest.splitlines())
 
 
+def test_python_workers_keep_little_between_tasks(spark, monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from eventmart.llm import packing
+
+    freed = []
+    pool = type("Pool", (), {"release_unused": lambda self: freed.append(1)})
+    with monkeypatch.context() as patch:
+        patch.setattr(pa, "default_memory_pool", pool)
+        assert list(common.thrifty(iter("abc"))) == ["a", "b", "c"] and len(freed) == 3
+
+    def words(batches):
+        for _ in batches:
+            held = sum(map(len, packing._words.values()))
+            yield pa.RecordBatch.from_pydict({"held": pa.array([held], pa.int64())})
+
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('word', id) AS text").repartition(4)
+    packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert spark.range(16).repartition(16).mapInArrow(words, "held long").agg({"held": "max"}).first()[0] == 0
+
+
 def test_equal_sets_and_similar_texts_leave_together(spark):
     base = " ".join(f"w{n}" for n in range(100))
     near = base + " more"
