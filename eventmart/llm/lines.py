@@ -24,13 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import col, fresh, told_apart, with_positions, with_rows
+from eventmart.llm.common import col, fresh, thrifty, told_apart, with_positions, with_rows
 from eventmart.session import durable, release, settled
 
 MIN_WORDS = 50
 _LINE_BITS = 27  # lines of one document; the bits above number the documents
 _SPACE = b" \t\r\x0b\x0c"
 _LINE = "[^\n \t\r\x0b\x0c][^\n]*"  # a line that is not blank, from its first character that is no space
+_HEAD = "^[\n \t\r\x0b\x0c]*\n"  # the blank lines above the first line
 
 
 def _lines(text: str | None) -> list[bytes]:
@@ -52,7 +53,7 @@ def _line_ids(min_words: int):
 
     @F.pandas_udf("h1 array<long>, h2 array<long>, ahead array<int>, back array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in thrifty(batches):
             out: dict[str, list] = {"h1": [], "h2": [], "ahead": [], "back": []}
             for text in batch:
                 lines = [s for x in _lines(text) if (s := x.strip(_SPACE))]
@@ -139,7 +140,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     """
     docs = docs.select([col(c) for c in docs.columns if c.lower() not in ("n_lines", "n_removed")])
     rows, row = with_rows(docs)
-    number, order, items, out = (fresh(rows, f"_{x}") for x in ("number", "order", "items", "gone"))
+    number, order, items, out, count, whole = (fresh(rows, f"_{x}") for x in ("number", "order", "items", "gone", "count", "whole"))
 
     def notes_of_rows() -> DataFrame:
         numbered = with_positions(rows.select(col(row), col(key).alias(order)), [order, row], number).select(row, number)
@@ -153,11 +154,19 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
             F.shiftright("pos", _LINE_BITS).alias(number), F.col("pos").bitwiseAND(F.lit((1 << _LINE_BITS) - 1)).cast("int").alias("seq")
         )
         # both lists are bounded by the lines of one document
-        return gone.groupBy(number).agg(F.collect_list("seq").alias(out)).join(numbered, number).drop(number)
+        listed = gone.groupBy(number).agg(F.collect_list("seq").alias(out))
+        held = lines.groupBy(number).agg((F.max("seq") + 1).alias(count))
+        named = listed.join(held, number).join(numbered, number)
+        return named.select(row, out, (F.size(out) == F.col(count)).alias(whole))
 
     notes = settled(notes_of_rows, "notes")
     maybe, other = told_apart(rows, row, notes.select(row))
-    joined = maybe.join(notes, row, "left")
+    # a text that loses all lines needs no list of them; only the other texts that change are shuffled
+    lost = notes.where(whole).select(row)
+    hit, kept = told_apart(maybe, row, lost)
+    wrong = durable(hit.select(row).join(lost, row, "left_anti"), "wrong")
+    doubt, sure = told_apart(hit, row, wrong)
+    joined = kept.union(doubt).join(notes.drop(whole), row, "left")
     touched = col(out).isNotNull()
     # only the texts that change go through Python
     shorter = F.pandas_udf(_without, "string")(F.when(touched, col(text)), col(out))
@@ -168,4 +177,11 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
         n_lines,
         F.when(touched, F.size(col(out))).otherwise(0).cast("long").alias("n_removed"),
     )
-    return other.select(*map(col, docs.columns), n_lines, F.lit(0).cast("long").alias("n_removed")).union(changed)
+    head = F.regexp_extract(col(text), _HEAD, 0)
+    emptied = sure.select(
+        *[F.substring(head, F.lit(1), F.length(head) - 1).alias(c) if c.lower() == text.lower() else col(c) for c in docs.columns],
+        n_lines,
+        n_lines.alias("n_removed"),
+    )
+    same = other.select(*map(col, docs.columns), n_lines, F.lit(0).cast("long").alias("n_removed"))
+    return same.union(changed).union(emptied)

@@ -147,6 +147,27 @@ def test_texts_that_stay_are_not_shuffled(spark, made):
     assert any("Join " in x and "broadcast" not in x for x in rest.splitlines())
 
 
+@pytest.mark.parametrize("bits", [6, 24])
+def test_texts_that_lose_all_lines_are_not_shuffled(spark, monkeypatch, bits):
+    """Their rows meet bitmaps only; a bitmap that mistakes rows for them costs no line."""
+    text = "\n".join(" ".join(f"w{n}x{k}" for k in range(30)) for n in range(3))
+    texts = [text, f"\n \n{text}\n\t", text, f"{text}\nnew", "\n\n", None, *(f"other {n}" for n in range(90))]
+    parts = []
+
+    def told(frame, *args, plain=lines.told_apart):
+        parts.append((frame, plain(frame, *args)))
+        return parts[-1][1]
+
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    monkeypatch.setattr(lines, "told_apart", told)
+    out = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in out.collect()}
+    want = {n: (t, sum(bool(x.strip()) for x in (t or "").split("\n")), 0) for n, t in enumerate(texts)}
+    assert got == want | {1: ("\n ", 3, 3), 2: ("", 3, 3), 3: ("new", 4, 3)}
+    sure = {r.doc_id for r in parts[-1][1][1].collect()}
+    assert sure <= {1, 2} and (bits == 6 or sure == {1, 2})
+
+
 def test_python_workers_keep_little_between_tasks(spark, monkeypatch):
     import public_tokenizers
     import pyarrow as pa
