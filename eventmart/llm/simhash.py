@@ -151,7 +151,8 @@ def links(prints: DataFrame) -> DataFrame:
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("key")
     )
     least = ball.groupBy("key").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    many = ball.join(least, "key").where("fp <> a").select("a", F.col("fp").alias("b"))
+    # the planner takes a ball for one row: left alone it sends all balls to the driver, to broadcast them
+    many = ball.hint("merge").join(least.hint("merge"), "key").where("fp <> a").select("a", F.col("fp").alias("b"))
     return pairs.union(some).union(many).distinct()
 
 

@@ -94,6 +94,30 @@ def test_near_copies_are_linked_by_fingerprints(spark, monkeypatch):
     assert stay >= set(range(0, 120, 3))
 
 
+def _below_broadcasts(frame) -> str:
+    """The lines of the plan as it was run that stand below a broadcast."""
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    below, top = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        if top is not None and depth > top:
+            below.append(line)
+        else:
+            top = depth if "BroadcastExchange" in line else None
+    return "\n".join(below)
+
+
+def test_balls_of_a_crowd_are_not_broadcast(spark, rows, monkeypatch):
+    """2,081 rows for each fingerprint of a crowd, which the planner takes for one, do not pass through the driver."""
+    monkeypatch.setattr(simhash, "CROWD", 4)
+    near = [0x1234567890ABCDEF ^ (1 << bit) for bit in range(12)]
+    edges = simhash.links(rows("fp long", *[(fp,) for fp in [*near, 5]]))
+    found = {frozenset(r) for r in edges.collect()}
+    assert "Generate" not in _below_broadcasts(edges)
+    assert all((a ^ b).bit_count() <= 4 for a, b in found)
+    assert {r.root for r in simhash.components(edges).collect()} == {min(near)} and set().union(*found) == set(near)
+
+
 def test_linked_fingerprints_that_are_unlike_stay(spark, monkeypatch):
     monkeypatch.setattr(simhash, "fingerprint_set", lambda hashes: 7)
     rows = [(n, " ".join(f"w{n}x{k}" for k in range(30))) for n in range(20)]
