@@ -95,12 +95,17 @@ def test_near_copies_are_linked_by_fingerprints(spark, monkeypatch):
 
 
 def _below_broadcasts(frame) -> str:
-    """The lines of the plan as it was run that stand below a broadcast."""
+    """The lines of the plan as it was run that stand below a broadcast, down to the next shuffle."""
     plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    below, top = [], None
+    below, top, end = [], None, None
     for line in plan.splitlines():
         depth = len(line) - len(line.lstrip(" :+-*"))
+        if end is not None and depth > end:
+            continue
+        end = None
         if top is not None and depth > top:
+            if "ShuffleQueryStage" in line:
+                end = depth
             below.append(line)
         else:
             top = depth if "BroadcastExchange" in line else None
@@ -118,6 +123,15 @@ def test_balls_of_a_crowd_are_not_broadcast(spark, rows, monkeypatch):
     assert {r.root for r in simhash.components(edges).collect()} == {min(near)} and set().union(*found) == set(near)
 
 
+def test_linked_texts_of_a_crowd_are_not_broadcast(spark, rows, monkeypatch):
+    """The same in the stage of the pipeline, which links texts by their fingerprints."""
+    monkeypatch.setattr(simhash, "CROWD", 4)
+    near = [0x1234567890ABCDEF ^ (1 << bit) for bit in range(12)]
+    pairs = simhash._linked(rows("node long, fp long", *enumerate([*near, near[0], 5])))
+    assert pairs.collect() and "Generate" not in _below_broadcasts(pairs)
+    assert {tuple(r) for r in simhash.components(pairs).collect()} == {(node, 0) for node in range(13)}
+
+
 def test_linked_fingerprints_that_are_unlike_stay(spark, monkeypatch):
     monkeypatch.setattr(simhash, "fingerprint_set", lambda hashes: 7)
     rows = [(n, " ".join(f"w{n}x{k}" for k in range(30))) for n in range(20)]
