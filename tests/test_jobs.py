@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import random
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -16,6 +17,8 @@ from eventmart import schemas as S
 from eventmart.functions import vocab as V
 from eventmart.operators import model
 from eventmart.plans.pipeline import FULL, GOLD_TABLES, INCREMENTAL, MODEL_TABLES, Mart
+from eventmart.sources import idfilter
+from eventmart.sources.events import read_events
 from eventmart.sources.snapshots import Table, mirror
 from eventmart.streaming import activity as streaming
 from eventmart.streaming import ingest as ingestion
@@ -358,6 +361,32 @@ def test_a_batch_is_merged_with_one_search(spark, tmp_path, monkeypatch):
         assert got.count() == want.count() and as_set(got) == as_set(want)
 
 
+def test_tables_of_a_batch_are_appended_at_once(spark, tmp_path, monkeypatch):
+    raw, root = tmp_path / "raw", str(tmp_path / "mart")
+    write_file(raw, "a.json.gz", make_events(4, 200))
+    gate, add = threading.Barrier(len(S.EVENT_TABLES)), Table.add_copied
+
+    def together(*arguments):
+        gate.wait(30)  # one after the other they never meet
+        return add(*arguments)
+
+    monkeypatch.setattr(Table, "add_copied", together)
+    added = ingestion.merge_batch(read_events(spark, str(raw), keep_corrupt=True), root, as_of="2020-01-01")
+    assert list(added) == list(S.EVENT_TABLES.values()) and added["push_events"] > 0
+    assert added == {name: Table(spark, root, name).read().count() for name in added}
+
+
+def test_ids_in_no_batch_are_dropped_before_the_shuffle(spark):
+    def named(start, end):
+        return spark.range(start, end).selectExpr("'a' AS type", "CAST(id AS STRING) AS event_id")
+
+    held, batch = named(0, 20000), named(19990, 20010)
+    left = idfilter.possible(held, batch, ["type", "event_id"])
+    assert as_set(left.join(batch, ["type", "event_id"])) == as_set(named(19990, 20000))
+    assert left.columns == held.columns and left.count() < 100
+    assert "hashpartitioning(type" not in left._jdf.queryExecution().executedPlan().toString()
+
+
 def test_an_id_is_searched_in_its_own_table_only(spark, tmp_path):
     schema = S.ENVELOPE
     row = ("7", "PushEvent", datetime(2015, 5, 1), (1, "x"), (2, "a/b"), "{}")
